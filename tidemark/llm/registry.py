@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, token_files
+from tidemark.llm import bpe, decontaminate, pii, simhash, token_files
 from tidemark.llm.tables import read
 
 #: The vocabularies; another folder's can be given here.
@@ -18,6 +18,18 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_token_columns(read(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.with_fingerprint(read(spark, sf_dir, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark, "op10-tokens")
     token_files.write_tokens(read(spark, sf_dir, "documents"), path, WORD_FILE)
@@ -25,7 +37,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op10_token_files)}
+    return {f.__name__: f for f in (op2_byte_bpe, op4_decontaminate, op5_simhash, op7_personal_data, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
