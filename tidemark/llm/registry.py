@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, pii, simhash, token_files
+from tidemark.llm import bpe, decontaminate, pii, simhash, substring_dedup, token_files
 from tidemark.llm.tables import read
 
 #: The vocabularies; another folder's can be given here.
 RANK_FILE, WORD_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(read(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_token_columns(read(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN)
 
@@ -37,7 +41,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op4_decontaminate, op5_simhash, op7_personal_data, op10_token_files)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op4_decontaminate, op5_simhash, op7_personal_data, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
