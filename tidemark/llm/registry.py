@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, pii, simhash, substring_dedup, token_files
+from tidemark.llm import bpe, decontaminate, pii, secrets, simhash, substring_dedup, token_files
 from tidemark.llm.tables import read
 
 #: The vocabularies; another folder's can be given here.
@@ -22,6 +22,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_token_columns(read(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(read(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -41,8 +45,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op4_decontaminate, op5_simhash, op7_personal_data, op10_token_files)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op7_personal_data, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_secrets": secrets.ORACLE_SQL}

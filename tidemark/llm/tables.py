@@ -19,9 +19,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns _id and _text without nulls (NO_ID, empty); no other column can clash."""
-    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text"))
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
+    """Columns _id and _text without nulls (NO_ID, empty), and those of `more`; no other column can clash."""
+    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text"), *more)
 
 
 def unkeyed(name: str = "_id") -> Column:
