@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, pii, secrets, simhash, substring_dedup, token_files
+from tidemark.llm import bpe, decontaminate, pii, quality, secrets, simhash, substring_dedup, token_files
 from tidemark.llm.tables import read
 
 #: The vocabularies; another folder's can be given here.
@@ -34,6 +34,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_fingerprint(read(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op7_personal_data, op10_token_files)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -67,7 +67,7 @@ def find_secrets(docs: DataFrame, owner_col: str = "source", repo_cols: tuple[st
     rows = docs.select(docs[id_col], docs[text_col], same(owner_col).alias("_owner"), F.concat_ws("\1", *map(same, repo_cols)).alias("_repo"))
     rows = keyed(rows, id_col, text_col, "_owner", "_repo")
     any_kind = "|".join(f"(?:{PATTERNS[k]})" for k in BASE_KINDS)
-    found = F.when(F.col("_text").rlike(any_kind), F.array_sort(F.concat(*[_found(F.col("_text"), k) for k in BASE_KINDS]))).otherwise(F.array().cast(_CANDIDATE))
+    found = F.when(F.col("_text").rlike(any_kind), F.sort_array(F.concat(*[_found(F.col("_text"), k) for k in BASE_KINDS]))).otherwise(F.array().cast(_CANDIDATE))
     scanned = cut(rows.select("_id", F.xxhash64("_id", "_text").alias("_uid"), "_owner", "_repo", found.alias("found")))
 
     one = scanned.where(F.size("found") > 0).select("_uid", "_owner", "_repo", F.explode("found").alias("c"))
@@ -77,14 +77,14 @@ def find_secrets(docs: DataFrame, owner_col: str = "source", repo_cols: tuple[st
     live = one.join(own, "hash").groupBy("_uid").agg(F.collect_set(F.struct(F.col("value_start").alias("start"), F.lit(len(BASE_KINDS)).alias("no"), F.lit("live").alias("kind"), "end")).alias("live"))
     base = F.transform("found", lambda c: F.struct(c["start"].alias("start"), c["no"].alias("no"), c["kind"].alias("kind"), c["end"].alias("end")))
     none = F.array().cast("array<struct<start:int,no:int,kind:string,end:int>>")
-    return scanned.join(live, "_uid", "left").select(unkeyed().alias("doc_id"), base.alias("base"), F.array_sort(F.coalesce("live", none)).alias("live"))
+    return scanned.join(live, "_uid", "left").select(unkeyed().alias("doc_id"), base.alias("base"), F.sort_array(F.coalesce("live", none)).alias("live"))
 
 
 def secrets(docs: DataFrame, **more) -> DataFrame:
     """find_secrets with its counts, digest and the joined spans."""
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    every = F.array_sort(F.concat("base", "live"))
+    every = F.sort_array(F.concat("base", "live"))
     return find_secrets(docs, **more).select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(every).alias("spans"))
 
 
