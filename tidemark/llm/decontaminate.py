@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.tables import cut, keyed, prepare, unkeyed
 from tidemark.llm.words import LOWER, NOT_ALNUM, Words, buffers, chunks, words_of
@@ -30,7 +31,8 @@ PART_CHARS = 4_000_000
 #: Words that one place of the search goes through.
 STRETCH = 256
 _TABLE_BITS = 16
-_OUT = "_id long, _text string, n_words long, spans array<struct<start:int,end:int>>, items array<long>"
+_OUT = {"n_words": "long", "spans": "array<struct<start:int,end:int>>", "items": "array<long>"}
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _block(last: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -145,33 +147,44 @@ def _pass(sent, first_pass: bool):
                 for i in np.unique(np.searchsorted(words.first, np.flatnonzero(hit), "right") - 1):
                     own = np.diff(hit[words.first[i] : words.first[i + 1]].astype(np.int8), prepend=0, append=0)
                     spans[i] = [{"start": a, "end": b} for a, b in zip(np.flatnonzero(own == 1).tolist(), np.flatnonzero(own == -1).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(row, stop - row), texts.slice(row, stop - row), pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))],
-                    ["_id", "_text", "n_words", "spans", "items"],
-                )
+                own = [c for c in batch.schema.names if c not in _OUT]
+                found = [pa.array(count, pa.int64()), pa.array(spans, _SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, stop - row) for c in own), *found], [*own, *_OUT])
 
     return run
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_chars: int = PART_CHARS, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_words, spans (runs of hit words: first, after the last), items (ids found in it), and, with keep_text, the text.
-
-    No shuffle: each text alone, against all patterns.
-    """
-    spark = docs.sparkSession
+def _searched(rows: DataFrame, benchmark: DataFrame, window: int, item_col: str, item_text_col: str, part_chars: int) -> DataFrame:
+    """rows (with _text) and n_words, spans, items. No shuffle: each text alone, against all patterns."""
+    spark = rows.sparkSession
     prepare(spark)
     bench = benchmark.select(benchmark[item_col].cast("long").alias("item"), F.coalesce(benchmark[item_text_col], F.lit("")).alias("words"))
     chars = bench.agg(F.coalesce(F.sum(F.length("words")), F.lit(0))).first()[0]
     parts = max(1, -(-chars // part_chars))
-    out = keyed(docs, id_col, text_col)
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in _OUT.items())])
     for part in range(parts):
-        rows = bench.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part) if parts > 1 else bench
-        sent = spark.sparkContext.broadcast(tables([tuple(x) for x in rows.collect()], window))  # about part_chars of text
-        out = out.mapInArrow(_pass(sent, part == 0), _OUT)
+        items = bench.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part) if parts > 1 else bench
+        sent = spark.sparkContext.broadcast(tables([tuple(x) for x in items.collect()], window))  # about part_chars of text
+        rows = rows.mapInArrow(_pass(sent, part == 0), schema)
         if part + 1 < parts:
-            out = cut(out)
+            rows = cut(rows)
             sent.unpersist()
-    return out.select(unkeyed().alias("doc_id"), "n_words", "spans", "items", *(["_text"] if keep_text else []))
+    return rows
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
+    """doc_id, n_words, spans (runs of hit words: first, after the last), items (ids found in it)."""
+    found = _searched(keyed(docs, id_col, text_col), benchmark, window, item_col, item_text_col, part_chars)
+    return found.select(unkeyed().alias("doc_id"), "n_words", "spans", "items")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
+    """The rows of docs in which no word is hit, with all their columns."""
+    rest = F.struct(*[docs[c] for c in docs.columns if c != text_col], docs[text_col].isNull().alias("_no_text"))
+    rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("_text"), rest.alias("_row"))
+    clean = _searched(rows, benchmark, window, item_col, item_text_col, part_chars).where(F.size("spans") == 0)
+    text = F.when(~F.col("_row._no_text"), F.col("_text"))
+    return clean.select(*[text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **more) -> DataFrame:

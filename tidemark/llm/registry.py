@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, line_dedup, pii, quality, secrets, simhash, substring_dedup, token_files
+from tidemark.llm import bpe, decontaminate, html_extract, line_dedup, pii, quality, secrets, simhash, substring_dedup, token_files
 from tidemark.llm.tables import read
 
 #: The vocabularies; another folder's can be given here.
@@ -46,14 +46,24 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.with_length(read(spark, sf_dir, "pages"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark, "op10-tokens")
     token_files.write_tokens(read(spark, sf_dir, "documents"), path, WORD_FILE)
     return token_files.read_tokens(spark, path)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op10_token_files)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op9_html_extract, op10_token_files, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
