@@ -19,6 +19,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ _EVERY = 64
 #: Ids in a shard, unless one document has more.
 SHARD_IDS = 1 << 20
 #: Words whose ids a task remembers.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
 
 
 class EliasFano:
@@ -165,35 +166,39 @@ class WordCache:
             self.plain = regex.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e]+").fullmatch
             self.find = regex.compile(split[0]["pattern"]["Regex"]).findall
         else:
-            self.plain = lambda x: None
+            self.plain, self.find = (lambda x: None), None
         self.merges = Tokenizer(self.tokenizer.model)
         self.letters = _byte_letters()
-        self.kind, self.known, self.pieces = "<u2" if width == 2 else "<u4", {}, {}
+        self.code = "H" if width == 2 else "I"  # of the machine's byte order, little-endian wherever Spark runs
+        self.known, self.pieces = {}, {}
 
-    def learn(self, words: list[bytes]) -> None:
-        known, pieces, cut = self.known, self.pieces, {}
+    def learn(self, words: Iterable[bytes], special: bool) -> None:
+        """special: whether a special token may stand in these words."""
+        known, pieces, cut, code = self.known, self.pieces, {}, self.code
+        plain, find = self.plain, self.find
         for w in words:
             text = w.decode()
-            if self.plain(text) and not any(x in text for x in self.special):
-                cut[w] = self.find(text.lower())
+            if plain(text) and not (special and any(x in text for x in self.special)):
+                cut[w] = find(text.lower())
             else:
-                known[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+                known[w] = array(code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(pieces) > CACHE_WORDS // 2:
             pieces.clear()
-        new = list({p for found in cut.values() for p in found if p not in pieces})
+        new = list({p for found in cut.values() for p in found}.difference(pieces))
         letters = [p if p.isascii() else "".join([self.letters[b] for b in p.encode()]) for p in new]
         for p, e in zip(new, self.merges.encode_batch_fast(letters, add_special_tokens=False), strict=True):
-            pieces[p] = np.array(e.ids, self.kind).tobytes()
+            pieces[p] = array(code, e.ids).tobytes()
         for w, found in cut.items():
             known[w] = pieces[found[0]] if len(found) == 1 else b"".join([pieces[p] for p in found])
 
     def bodies(self, texts: list[str]) -> list[bytes]:
+        special = any(x in text for x in self.special for text in texts)
         split = [x.encode().split() for x in texts]
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        self.learn(list({w for words in split for w in words if w not in known}))
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.learn(set().union(*split).difference(known), special)
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def _encoded(tokenizer_file: str, end_id: int, width: int, shard_ids: int):
@@ -209,8 +214,8 @@ def _encoded(tokenizer_file: str, end_id: int, width: int, shard_ids: int):
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for k in range(0, len(keys), 200):
-                for key, body in zip(keys[k : k + 200], cache.bodies(texts[k : k + 200].to_pylist()), strict=True):
+            for k in range(0, len(keys), 500):
+                for key, body in zip(keys[k : k + 500], cache.bodies(texts[k : k + 500].to_pylist()), strict=True):
                     if ids and held + len(body) > shard_ids * width:
                         yield shard()
                         within += held // width
