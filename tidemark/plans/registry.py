@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import history_queries  # noqa: F401  a module's queries register themselves
+from tidemark.plans import analytics_queries, history_queries, report_queries, search_queries  # noqa: F401  their queries register themselves
 from tidemark.plans.catalog import ORACLES, QUERIES
 
 
