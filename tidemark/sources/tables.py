@@ -29,7 +29,7 @@ SQL = {
     "articles": """SELECT o_orderkey AS article_key, o_custkey % 50 AS group_no, CASE o_orderpriority WHEN '1-URGENT' THEN 'alpha' WHEN '2-HIGH' THEN 'alpha' ELSE 'beta' END AS publisher,
         CASE o_orderstatus WHEN 'F' THEN 'notified' WHEN 'O' THEN 'shared' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'doc_created' ELSE 'fetched' END END AS status,
         CAST(epoch(o_orderdate) AS BIGINT) AS discovered_at, o_orderkey % 9 AS failures, o_totalprice AS price,
-        CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN '' ELSE 'd' || (o_orderkey % 5000) END AS document_id,
+        CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN '' ELSE 'd' || (o_orderkey % 12000) END AS document_id,
         CAST(epoch(o_orderdate) AS BIGINT) + (o_orderkey % 9) * 3600 AS next_at FROM orders""",
     "tag_results": """SELECT doc_id AS item_id, tag_id, tag, score, doc_id % 3 AS version FROM (
         SELECT doc_id, 1 AS tag_id, 'quality' AS tag, CAST(quality AS DOUBLE) AS score FROM labels UNION ALL SELECT doc_id, 2, 'toxic', CAST(toxic AS DOUBLE) FROM labels)""",
@@ -105,7 +105,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     key, at = F.col("o_orderkey"), F.unix_timestamp("o_orderdate")
     status = F.when(F.col("o_orderstatus") == "F", "notified").when(F.col("o_orderstatus") == "O", "shared").when(key % 2 == 0, "doc_created").otherwise("fetched")
-    document = F.when((F.col("o_orderstatus") == "F") & (key % 3 == 0), "").otherwise(F.concat(F.lit("d"), (key % 5000).cast("string")))
+    document = F.when((F.col("o_orderstatus") == "F") & (key % 3 == 0), "").otherwise(F.concat(F.lit("d"), (key % 12000).cast("string")))
     return o.select(
         key.alias("article_key"), (F.col("o_custkey") % 50).alias("group_no"), F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "alpha").otherwise("beta").alias("publisher"),
         status.alias("status"), at.alias("discovered_at"), (key % 9).alias("failures"), F.col("o_totalprice").alias("price"), document.alias("document_id"), (at + (key % 9) * 3600).alias("next_at"),
