@@ -60,7 +60,7 @@ def truncate(text: Column, n: int) -> Column:
 
 def truncate_bytes(text: Column, n: int) -> Column:
     """TX-11: the longest prefix of n UTF-8 bytes or fewer that ends with a whole character."""
-    return F.when(F.octet_length(text) <= n, text).otherwise(F.regexp_replace(F.decode(F.substring(F.encode(text, "utf-8"), 1, n), "utf-8"), "�+$", ""))
+    return F.when(F.octet_length(text) <= n, text).otherwise(F.regexp_replace(F.make_valid_utf8(F.substring(F.encode(text, "utf-8"), 1, n).cast("string")), "\\x{FFFD}+$", ""))
 
 
 def to_mrkdwn(text: Column) -> Column:
