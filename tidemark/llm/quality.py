@@ -121,12 +121,13 @@ def cutoffs(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: s
     return chosen, n_strata
 
 
-def _judged(docs: DataFrame, labels: DataFrame, stratum: str, id_col: str, text_col: str, **more) -> DataFrame:
-    """docs with _m (the measures), _failed and _kept."""
+def _judged(docs: DataFrame, labels: DataFrame, stratum: str, id_col: str, text_col: str, whole: bool, **more) -> DataFrame:
+    """_row (a struct of doc_id, or of the whole row), _m (the measures), _failed, _kept. Names inside _row can't clash."""
     chosen, n_strata = cutoffs(docs, labels, stratum, id_col, text_col, **more)
     if n_strata <= BROADCAST_STRATA:
         chosen = F.broadcast(chosen)
-    out = docs.withColumns({"_stratum": F.coalesce(docs[stratum].cast("string"), F.lit("\0")), "_m": measures(docs[text_col])})
+    kept = F.struct("*") if whole else F.struct(docs[id_col].alias("doc_id"))
+    out = docs.select(kept.alias("_row"), F.coalesce(docs[stratum].cast("string"), F.lit("\0")).alias("_stratum"), measures(docs[text_col]).alias("_m"))
     out = out.join(chosen, "_stratum", "left").withColumn("_failed", _base_failed(F.col("_m")))
     over = [F.coalesce(c > F.col(f"_cut_{name}"), F.lit(False)) for name, c in _scores(F.col("_m")).items()]
     rejected = F.col("_failed")
@@ -137,10 +138,10 @@ def _judged(docs: DataFrame, labels: DataFrame, stratum: str, id_col: str, text_
 
 def quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """doc_id, METRICS, base_failed, kept."""
-    out = _judged(docs.select(id_col, text_col, stratum), labels, stratum, id_col, text_col, **more)
-    return out.select(F.col(id_col).alias("doc_id"), *[F.col(f"_m.{x}").alias(x) for x in METRICS], F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    out = _judged(docs, labels, stratum, id_col, text_col, False, **more)
+    return out.select("_row.doc_id", *[F.col(f"_m.{x}").alias(x) for x in METRICS], F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
-    return _judged(docs, labels, stratum, id_col, text_col, **more).where("_kept").select(*docs.columns)
+    return _judged(docs, labels, stratum, id_col, text_col, True, **more).where("_kept").select("_row.*")

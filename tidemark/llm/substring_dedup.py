@@ -40,6 +40,8 @@ _ROW = pa.schema([("target", pa.int32()), ("found", pa.bool_()), ("data", pa.bin
 _ROW_DDL = "target int, found boolean, data binary"
 #: A pointer run: a document (by uid), first window, windows, and the reference's doc_id and first window.
 _POINTER = np.dtype([("uid", "<i8"), ("pos", "<i4"), ("n", "<i4"), ("ref", "<i8"), ("ref_pos", "<i4")])
+#: Windows of a block; its length has 16 bits.
+LONGEST = 65535
 _BLOCK = np.dtype([("doc", "<u4"), ("pos", "<u4"), ("n", "<u2")])
 
 
@@ -82,7 +84,7 @@ def _answers(runs: np.ndarray, targets: int) -> Iterator[pa.RecordBatch]:
 def _pack(doc_ids: np.ndarray, uids: np.ndarray, doc: np.ndarray, pos: np.ndarray, hashes: np.ndarray) -> bytes:
     """Blocks of one index part: documents, runs of windows, hashes."""
     used, doc = np.unique(doc, return_inverse=True)
-    go_on = (doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1] + 1)
+    go_on = (doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1] + 1) & (np.arange(1, len(doc)) % LONGEST != 0)
     first = np.flatnonzero(np.concatenate([[True], ~go_on]))
     n = np.diff(np.append(first, len(doc)))
     blocks = np.empty(len(first), _BLOCK)
