@@ -180,11 +180,11 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_c
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
     """The rows of docs in which no word is hit, with all their columns."""
-    rest = F.struct(*[docs[c] for c in docs.columns if c != text_col], docs[text_col].isNull().alias("_no_text"))
-    rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("_text"), rest.alias("_row"))
+    rest = F.struct(*[F.col("`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns if c != text_col])
+    rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("_text"), F.struct(rest.alias("rest"), docs[text_col].isNull().alias("no_text")).alias("_row"))
     clean = _searched(rows, benchmark, window, item_col, item_text_col, part_chars).where(F.size("spans") == 0)
-    text = F.when(~F.col("_row._no_text"), F.col("_text"))
-    return clean.select(*[text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
+    text = F.when(~F.col("_row.no_text"), F.col("_text"))
+    return clean.select(*[text.alias(c) if c == text_col else F.col("_row.rest").getField(c).alias(c) for c in docs.columns])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **more) -> DataFrame:
