@@ -109,10 +109,11 @@ def cutoffs(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: s
     if labels.count() <= BROADCAST_LABELS:
         good = F.broadcast(good)
     named = docs.select(docs[id_col].cast("long").alias("_id"), F.coalesce(docs[stratum].cast("string"), F.lit("\0")).alias("_stratum"), docs[text_col].alias("_text"))
-    held = named.join(good, "_id").select("_stratum", measures(F.col("_text")).alias("m")).where(~_base_failed(F.col("m")))
-    scored = held.select("_stratum", *[c.alias(name) for name, c in _scores(F.col("m")).items()])
+    held = named.join(good, "_id").select("_stratum", measures(F.col("_text")).alias("m"))
+    # counted by condition: a filter would be pushed below the measures and compute them anew
+    scored = held.select("_stratum", (~_base_failed(F.col("m"))).alias("ok"), *[c.alias(name) for name, c in _scores(F.col("m")).items()])
     cells = [(name, x) for name, xs in grid.items() for x in xs]
-    counted = scored.groupBy("_stratum").agg(F.count("*").alias("n"), *[F.count_if(F.col(name) > x).alias(f"k{i}") for i, (name, x) in enumerate(cells)])
+    counted = scored.groupBy("_stratum").agg(F.count_if("ok").alias("n"), *[F.count_if(F.col("ok") & (F.col(name) > x)).alias(f"k{i}") for i, (name, x) in enumerate(cells)]).where("n > 0")
     rows = counted.select("_stratum", "n", F.explode(F.array(*[F.struct(F.lit(name).alias("score"), F.lit(x).alias("cutoff"), F.col(f"k{i}").alias("k")) for i, (name, x) in enumerate(cells)])).alias("cell"))
     rows = cut(rows)
     n_strata = rows.count() // max(1, len(cells))
@@ -130,10 +131,11 @@ def _judged(docs: DataFrame, labels: DataFrame, stratum: str, id_col: str, text_
     out = docs.select(kept.alias("_row"), F.coalesce(docs[stratum].cast("string"), F.lit("\0")).alias("_stratum"), measures(docs[text_col]).alias("_m"))
     out = out.join(chosen, "_stratum", "left").withColumn("_failed", _base_failed(F.col("_m")))
     over = [F.coalesce(c > F.col(f"_cut_{name}"), F.lit(False)) for name, c in _scores(F.col("_m")).items()]
-    rejected = F.col("_failed")
+    rejected = F.lit(False)
     for x in over:
         rejected = rejected | x
-    return out.withColumn("_kept", ~rejected)
+    # one condition over both sides of the join: a part of it alone would be pushed below the measures and compute them anew
+    return out.withColumn("_kept", F.when(F.col("_failed"), F.lit(False)).otherwise(~rejected))
 
 
 def quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
