@@ -27,10 +27,8 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component stays; rows with one doc_id are one document."""
-    found = simhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi")
+    """One row of each component stays, that with the smallest doc_id."""
+    return simhash.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,22 @@ def test_near_query(spark, small, same):
     same(op5_simhash(spark, SF), NEAR, brute.near_duplicates(small[1]))
 
 
+def _unlike_rows():
+    """Texts without ids, or of one id, of which one is near document 7: the rest alike in nothing but the id."""
+    rng = random.Random(9)
+    text = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(9)]
+    near = next(x for i in range(10**6) if 0 < (brute.fingerprint(x := f"{text[0]} x{i}") ^ brute.fingerprint(text[0])).bit_count() <= 2)
+    return [(7, text[0]), (None, near), *((None, x) for x in text[1:5]), (None, text[4]), (3, text[5]), (3, text[6]), (3, text[7]), (8, text[7]), (9, text[8]), (3, text[5])]
+
+
+def test_unlike_texts_of_one_id_are_not_joined(spark, same):
+    rows = _unlike_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same(simhash.with_fingerprint(docs), NEAR, brute.near_duplicates(rows))
+    # one row of each of the nine texts, though component_id is the same for several of them
+    same(simhash.one_of_each(docs), ["doc_id", "text"], [rows[i] for i in (0, 2, 3, 4, 5, 7, 8, 9, 11)])
+
+
 @pytest.mark.parametrize("shard", [4096, 40])
 def test_links_find_all_near_prints_also_in_large_shards(spark, shard):
     rng = random.Random(3)

@@ -10,7 +10,8 @@ only a spanning forest leaves it.
 
 Cases: a null or empty text has fingerprint zero, and so has one without words; they link like any other. Copies share
 one fingerprint, which is looked up once. A null doc_id stays null and comes last; rows with one doc_id are
-judged each by its own text. An empty table gives no row; other columns are ignored.
+judged each by its own text: components are of fingerprints, never of ids. An empty table gives no row; other columns
+are kept by `one_of_each` and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import cut, keyed, prepare, unkeyed
+from tidemark.llm.tables import NO_ID, cut, keyed, prepare, unkeyed
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
 #: Fingerprints of a shard beyond which it is dealt anew.
@@ -53,7 +54,7 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     for batch in batches:
         prints = np.array([fingerprint(x, digest=xxh64_intdigest) for x in batch.column(1).to_pylist()], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["_id", "print"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], ["_id", "print", "_h"])
 
 
 class BKTree:
@@ -135,7 +136,7 @@ def _keys(fields: list[tuple[int, int]], *more) -> Column:
 
 
 def links(prints: DataFrame, shard: int = SHARD) -> DataFrame:
-    """a, b: edges that join all documents whose fingerprints (columns print, doc: distinct prints) are within the radius.
+    """a, b: edges that join all nodes (column doc) whose fingerprints (column print, distinct) are within the radius.
 
     A shard key is a hash; two shards under one key are searched together, which finds the same links.
     """
@@ -148,16 +149,31 @@ def links(prints: DataFrame, shard: int = SHARD) -> DataFrame:
     return small.union(again).repartition("shard").sortWithinPartitions("shard").mapInArrow(_links, "a long, b long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shard: int) -> DataFrame:
+    """_id, print, _h (hash of the text), _part (the smallest fingerprint of the component), _root (its smallest _id)."""
+    prepare(docs.sparkSession)
+    texts = keyed(docs, id_col, text_col).select("_id", "_text", F.xxhash64("_text").alias("_h"))
+    of = cut(texts.mapInArrow(_fingerprints, "_id long, print long, _h long"))
+    prints = cut(of.groupBy("print").agg(F.min("_id").alias("_id")))
+    parts = components(links(prints.select("print", F.col("print").alias("doc")), shard))
+    by_print = prints.join(parts, F.col("print") == F.col("node"), "left").select("print", "_id", F.coalesce("root", "print").alias("_part"))
+    by_part = by_print.groupBy("_part").agg(F.min("_id").alias("_root"))
+    return of.join(by_print.drop("_id").join(by_part, "_part"), "print")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """doc_id, print (the fingerprint, signed), component_id (the smallest doc_id reachable by links)."""
-    spark = docs.sparkSession
-    prepare(spark)
-    of = cut(keyed(docs, id_col, text_col).mapInArrow(_fingerprints, "_id long, print long"))
-    prints = cut(of.groupBy("print").agg(F.min("_id").alias("doc")))
-    roots = components(links(prints, shard))
-    by_print = prints.join(roots, F.col("doc") == F.col("node"), "left").select("print", F.coalesce("root", "doc").alias("_root"))
-    out = of.join(by_print, "print")
-    return out.select(unkeyed().alias("doc_id"), "print", unkeyed("_root").alias("component_id"))
+    return _grouped(docs, id_col, text_col, shard).select(unkeyed().alias("doc_id"), "print", unkeyed("_root").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
+    """The row of docs with the smallest id of each component; of several, that with the smallest hash of its text.
+
+    Rows of one id and text are one row, the smallest; they meet in the tasks that read them, and one from each after.
+    """
+    first = _grouped(docs, id_col, text_col, shard).groupBy("_part").agg(F.min(F.struct("_id", "_h")).alias("_first")).select("_first.*")
+    rows = docs.select(F.struct("*").alias("_row"), F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("_h"))
+    return rows.groupBy("_id", "_h").agg(F.min("_row").alias("_row")).join(first, ["_id", "_h"], "left_semi").select("_row.*")
 
 
 def with_fingerprint(docs: DataFrame, **more) -> DataFrame:
