@@ -154,6 +154,14 @@ def test_similar_lines_of_one_template(spark, own):
     assert _recall(spark, [a for a, _ in pairs] + [b for _, b in pairs], pairs) > 0.99
 
 
+@pytest.mark.parametrize(("letters", "n"), [("ABCDEFGHIJKLMNOPQRSTUVWXYZ     ", 68), ("0123456789 .", 40), ("абвгдежзиклмнопрст   ", 80), ("".join(map(chr, range(0x4E00, 0x5200))), 60), ("".join(map(chr, range(0x4E00, 0x5200))), 200)])
+def test_similar_lines_without_vowels_or_words(spark, letters, n):
+    rng = random.Random(n)
+    firsts = ["x" + "".join(rng.choice(letters) for _ in range(n - 2)) + "x" for _ in range(60)]
+    pairs = [(x, x + ".") for x in firsts]
+    assert _recall(spark, [a for a, _ in pairs] + [b for _, b in pairs], pairs) > 0.95
+
+
 def test_lines_edge(spark, edge, edge_rows):
     out = line_dedup.without_lines(edge, keep=True)
     assert out.schema.names == edge.schema.names
