@@ -106,7 +106,7 @@ SELECT word, last_c AS current, round(100.0 * (last_c - prev_c) / prev_c, 2) AS
 def predict_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TD-4, WN-6, WN-7, OR-12: growth from the day before on which a token occurred, and how steady it is."""
     points = token_days(S.titles(spark, sf_dir), "2024-01-27", END).groupBy("word").agg(F.sort_array(F.collect_list(F.struct("date", "c"))).alias("p")).where(F.size("p") >= 2)
-    at = lambda i: F.element_at("p", i)["c"]
+    at = lambda i: F.try_element_at("p", F.lit(i))["c"]  # noqa: E731  filters may be merged, so one day's token gets here too
     c = F.transform("p", lambda x: x["c"])
     falls = F.exists(F.zip_with(F.slice(c, 2, 9), F.slice(c, 1, 9), lambda b, a: b < a), lambda x: F.coalesce(x, F.lit(False)))
     confidence = F.when(F.size("p") == 2, 0.6).when(~falls, 0.9).otherwise(0.7)
