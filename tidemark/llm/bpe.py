@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tables import keyed, prepare, unkeyed
 
-#: What a task remembers: pieces between spaces, pre-tokens, pairs of tokens. Each is bounded; it is filled anew when full.
-CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 400_000, 100_000, 1_000_000
+#: What a Python worker remembers: pieces between spaces (twice so many), pre-tokens, pairs of tokens. Each is bounded.
+CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 250_000, 200_000, 1_000_000
 
 
 class Ranks:
@@ -119,7 +119,11 @@ class Encoder:
 
         self.ranks, self.find = Ranks(rank_file), regex.compile(pattern).findall
         self.pieces: dict[str, list[int]] = {}
+        #: Those met of late, and those before them; what is met again moves to the first.
         self.chunks: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+        lengths = np.array([len(x) for x in self.ranks.bytes_of], np.int64)
+        self.starts, self.lengths, self.table = np.cumsum(lengths) - lengths, lengths, np.frombuffer(b"".join(self.ranks.bytes_of), np.uint8)
 
     def piece(self, x: str) -> list[int]:
         data = x.encode()
@@ -154,30 +158,42 @@ class Encoder:
             return b""
         head, *rest = text.split(" ")
         parts = [head, *[" " + x for x in rest]]
-        known = self.chunks
-        if len(known) > CHUNKS_KEPT:
-            known.clear()
-        for x in parts:
-            if x not in known:
-                known[x] = self._chunk(x)
-        got = [known[x] for x in parts]
+        if len(self.chunks) > CHUNKS_KEPT:
+            self.older, self.chunks = self.chunks, {}
+        known, older = self.chunks, self.older
+        for x in set(parts).difference(known):
+            known[x] = older[x] if x in older else self._chunk(x)
+        got = [*map(known.__getitem__, parts)]
         if None in got:
             return np.array(self.plain(text), "<i4").tobytes()
         return b"".join(got)
 
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, one after another, and where each id's begin, and the end."""
+        sizes = self.lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return self.table[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+
+@lru_cache(maxsize=2)
+def encoder(rank_file: str, pattern: str) -> Encoder:
+    """One for all tasks of a Python worker, so that its words are learned once."""
+    return Encoder(rank_file, pattern)
+
 
 def _run(batches: Iterable[pa.RecordBatch], rank_file: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(rank_file, pattern)
-    bytes_of = encoder.ranks.bytes_of
+    own = encoder(rank_file, pattern)
     for batch in batches:
         for k in range(0, len(batch), 500):
             part = batch.slice(k, 500)
-            ids = [encoder.encode(x) for x in part.column(1).to_pylist()]
+            ids = [own.encode(x) for x in part.column(1).to_pylist()]
             sizes = np.cumsum([0, *(len(x) // 4 for x in ids)])
             flat = np.frombuffer(b"".join(ids), "<i4")
-            decoded = [b"".join([bytes_of[i] for i in flat[a:b].tolist()]) for a, b in zip(sizes[:-1], sizes[1:], strict=True)]
+            raw, ends = own.decode(flat)
+            where = pa.py_buffer(ends[sizes].astype(np.int32))
+            decoded = pa.Array.from_buffers(pa.binary(), len(part), [None, where, pa.py_buffer(raw)])
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(decoded, pa.binary())], ["_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, decoded], ["_id", "ids", "decoded"])
 
 
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
