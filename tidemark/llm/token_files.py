@@ -21,6 +21,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ _SEQ = struct.Struct("<QQBxxxxxxx")
 _EVERY = 64
 #: Ids in a shard, unless one document has more.
 SHARD_IDS = 1 << 20
-#: Words whose ids a task remembers.
-CACHE_WORDS = 800_000
+#: Words whose ids a Python worker remembers: so many met of late, and as many before them.
+CACHE_WORDS = 400_000
 
 
 class EliasFano:
@@ -64,22 +65,22 @@ class EliasFano:
         left = i % _EVERY
         if not left:
             return at
-        byte = (at + 1) // 8
-        first = np.unpackbits(self.highs[byte : byte + 1], bitorder="little")
-        first[: (at + 1) % 8] = 0
-        while left > (k := int(first.sum())):
-            left -= k
-            byte += 1
-            first = np.unpackbits(self.highs[byte : byte + 1], bitorder="little")
-        return byte * 8 + int(np.flatnonzero(first)[left - 1])
+        byte, width = (at + 1) // 8, 8
+        piece = int.from_bytes(self.highs[byte : byte + width].tobytes(), "little") >> (at + 1) % 8 << (at + 1) % 8
+        while left > (k := piece.bit_count()):
+            left, byte = left - k, byte + width
+            piece = int.from_bytes(self.highs[byte : byte + width].tobytes(), "little")
+        for _ in range(left - 1):
+            piece &= piece - 1
+        return byte * 8 + (piece & -piece).bit_length() - 1
 
     def __getitem__(self, i: int) -> int:
         high = self.select(i) - i
-        low = 0
-        for k in range(self.low):
-            at = i * self.low + k
-            low |= (int(self.lows[at >> 3]) >> (at & 7) & 1) << k
-        return high << self.low | low
+        if not self.low:
+            return high
+        at = i * self.low
+        piece = int.from_bytes(self.lows[at >> 3 : (at + self.low + 7) >> 3].tobytes(), "little")
+        return high << self.low | piece >> (at & 7) & (1 << self.low) - 1
 
     def all(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n]
@@ -170,7 +171,7 @@ class WordCache:
         self.merges = Tokenizer(self.tokenizer.model)
         self.letters = _byte_letters()
         self.code = "H" if width == 2 else "I"  # of the machine's byte order, little-endian wherever Spark runs
-        self.known, self.pieces = {}, {}
+        self.known, self.older, self.pieces = {}, {}, {}
 
     def learn(self, words: Iterable[bytes], special: bool) -> None:
         """special: whether a special token may stand in these words."""
@@ -182,7 +183,7 @@ class WordCache:
                 cut[w] = find(text.lower())
             else:
                 known[w] = array(code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(pieces) > CACHE_WORDS // 2:
+        if len(pieces) > CACHE_WORDS:
             pieces.clear()
         new = list({p for found in cut.values() for p in found}.difference(pieces))
         letters = [p if p.isascii() else "".join([self.letters[b] for b in p.encode()]) for p in new]
@@ -194,16 +195,25 @@ class WordCache:
     def bodies(self, texts: list[str]) -> list[bytes]:
         special = any(x in text for x in self.special for text in texts)
         split = [x.encode().split() for x in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        self.learn(set().union(*split).difference(known), special)
+        if len(self.known) > CACHE_WORDS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = set().union(*split).difference(known)
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        self.learn(new - again, special)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+@lru_cache(maxsize=2)
+def word_cache(tokenizer_file: str, width: int) -> WordCache:
+    """One for all tasks of a Python worker, so that its words are learned once."""
+    return WordCache(tokenizer_file, width)
+
+
 def _encoded(tokenizer_file: str, end_id: int, width: int, shard_ids: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part, seq = WordCache(tokenizer_file, width), TaskContext.get().partitionId(), 0
+        cache, part, seq = word_cache(tokenizer_file, width), TaskContext.get().partitionId(), 0
         end = end_id.to_bytes(width, "little")
         ids: list[int] = []
         bodies: list[bytes] = []
@@ -236,12 +246,12 @@ _SHARD = "part int, seq int, docs long, within long, n_ids long, data binary"
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, vocabulary: int = 49408, shard_ids: int = SHARD_IDS) -> None:
     """Encodes every text, appends end_id to each, and writes shards in ascending id order to a new table at `path`.
 
-    The texts are dealt out by ranges of the id and sorted there, so shard (part, seq) holds one run of ids, and the
+    The texts are dealt out by ranges of the id (and by how they begin, as many may have no id) and sorted there, so shard (part, seq) holds one run of ids, and the
     order of shards is the order of documents. A shard is as long as shard_ids or as one document.
     """
     prepare(docs.sparkSession)
     width = 2 if max(vocabulary - 1, end_id) < 2**16 else 4
-    ordered = keyed(docs, id_col, text_col).repartitionByRange("_id").sortWithinPartitions("_id", "_text")
+    ordered = keyed(docs, id_col, text_col).repartitionByRange("_id", F.substring("_text", 1, 64)).sortWithinPartitions("_id", "_text")
     ordered.mapInArrow(_encoded(tokenizer_file, end_id, width, shard_ids), _SHARD).write.parquet(path)
 
 
@@ -264,18 +274,23 @@ def _decoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start, data in zip(batch.column("start").to_pylist(), batch.column("data"), strict=True):
             shard = Shard(data.as_py())
-            ends = shard.ends.all().astype(np.int64)
-            wide = shard.body.astype("<u4")
+            ids = range(shard.docs)
+            bodies = [*map(shard.ids, ids)]
+            n_tokens = [*map(len, bodies)]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "_id": shard.first + shard.gaps.all().astype(np.int64),
-                    "start": start + ends[:-1],
-                    "n_tokens": np.diff(ends),
-                    "ids_crc32": [zlib.crc32(wide[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)],
-                }
+                    "_id": [*map(shard.doc_id, ids)],
+                    "start": [start + shard.ends[i] for i in ids],
+                    "n_tokens": n_tokens,
+                    "ids_crc32": [zlib.crc32(x.astype("<u4")) for x in bodies],
+                },
+                schema=_FOUND,
             )
 
 
+_FOUND = pa.schema([(c, pa.int64()) for c in ("_id", "start", "n_tokens", "ids_crc32")])
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """From the shards, per document: doc_id, start, n_tokens, ids_crc32."""
     prepare(spark)
