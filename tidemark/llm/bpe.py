@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import keyed, prepare, unkeyed
 
 #: What a Python worker remembers: pieces between spaces (twice so many), pre-tokens, pairs of tokens. Each is bounded.
-CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 250_000, 200_000, 1_000_000
+CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 150_000, 250_000, 300_000
 
 
 class Ranks:
