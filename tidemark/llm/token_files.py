@@ -38,7 +38,7 @@ _EVERY = 64
 #: Ids in a shard, unless one document has more.
 SHARD_IDS = 1 << 20
 #: Words whose ids a Python worker remembers: so many met of late, and as many before them.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 
 
 class EliasFano:
