@@ -20,6 +20,10 @@ def test_normalize_url(spark):
     assert one(spark, "https://a/b?z=1&UTM_source=x&a=2#f", urls.normalize_url) == "https://a/b?a=2&z=1"
     assert one(spark, "https://a/b#f", urls.normalize_url) == "https://a/b#f"
     assert one(spark, "https://a/b?ref=1", urls.normalize_url) == "https://a/b"
+    assert one(spark, "https://a/articles/story-ecb497c1/?mod=x&utm_source=y#f", urls.article_id) == "ecb497c1"
+    assert one(spark, "https://a/b-2/x-123e4567-e89b-42d3-A456-426614174000", urls.article_id) == "123e4567-e89b-42d3-a456-426614174000"
+    assert one(spark, "https://a/articles/story-1234567", urls.article_id) == one(spark, "https://abcdef12", urls.article_id) == one(spark, "https://a/story_abcdef12", urls.article_id) == ""
+    assert one(spark, "https://a/abcdef123456.html", urls.article_id) == "" and one(spark, "https://a/abcdef123456", urls.article_key) == "id:abcdef123456"
 
 
 def test_text(spark):

@@ -28,9 +28,16 @@ def canonical_url(url: Column) -> Column:
     return F.concat(F.lit("https://"), host(url), F.lower(path))
 
 
+#: What may end the last part of a path, after a dash or alone. Fixed values.
+UUID_END = "(?:^|-)([0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12})$"
+HEX_END = "(?:^|-)([0-9a-f]{8,40})$"
+
+
 def article_id(url: Column) -> Column:
-    """UR-4: the digits that end the path, as the id."""
-    return F.regexp_extract(url, r"/([0-9]+)(?:\.html)?/?(?:[?#].*)?$", 1)
+    """UR-4: the UUID that ends the last part of the path, else the 8 to 40 hex digits that do, else nothing."""
+    slug = F.regexp_extract(canonical_url(url), "^https://[^/]*(?:/.*)?/([^/]*)$", 1)
+    long = F.regexp_extract(slug, UUID_END, 1)
+    return F.when(long != "", long).otherwise(F.regexp_extract(slug, HEX_END, 1))
 
 
 def article_key(url: Column) -> Column:

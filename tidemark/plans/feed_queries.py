@@ -160,7 +160,8 @@ def normalize_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CANON = r"'https://' || regexp_extract(lower(url), '^https?://([^/?#:]+)', 1) || lower(regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '/+$', ''))"
-_ID = r"regexp_extract(url, '/([0-9]+)(?:\.html)?/?(?:[?#].*)?$', 1)"
+_SLUG = f"regexp_extract({_CANON}, '^https://[^/]*(?:/.*)?/([^/]*)$', 1)"
+_ID = f"coalesce(nullif(regexp_extract({_SLUG}, '{U.UUID_END}', 1), ''), regexp_extract({_SLUG}, '{U.HEX_END}', 1))"
 
 
 @query(f" SELECT page_id, {_CANON} AS canonical, {_ID} AS article_id, CASE WHEN {_ID} <> '' THEN 'id:' || {_ID} ELSE 'url:' || sha256({_CANON}) END AS article_key FROM pages")
