@@ -1,3 +1,5 @@
+import random
+import re
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -59,3 +61,63 @@ def test_packing_keeps_every_line_and_the_cap(spark):
     rows = [("k", i, "x" * n) for i, n in enumerate((3, 5, 40, 2, 9, 9))]
     out = packed(spark.createDataFrame(rows, "key string, pos int, line string"), "key", ["pos"], "line", 20).orderBy("batch").collect()
     assert sum(r.n for r in out) == 6 and all(r.bytes <= 20 or r.n == 1 for r in out)
+
+
+def _titles():
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghiorstn") for _ in range(rng.randrange(2, 8))) for _ in range(60)]
+    titles = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 11))) for _ in range(60)]
+    for t in titles[:25]:
+        x = list(t)
+        for _ in range(max(1, len(x) // 8)):
+            x[rng.randrange(len(x))] = rng.choice("ABCxyz é")
+        titles.append("".join(x))
+    return [*titles, titles[0], titles[0].upper(), "", None, "ab", "ac"]
+
+
+def _tokens(x):
+    return {w for w in re.findall(r"\w+", x) if len(w) >= 2}
+
+
+def _jaccard(a, b):
+    return len(a & b) / len(a | b) if a and b else 0.0
+
+
+def test_searches_against_brute_force(spark):
+    rows = list(enumerate(_titles()))
+    t = spark.createDataFrame(rows, "doc_id long, title string")
+    asked = t.where("doc_id % 20 = 0 and title <> ''").selectExpr("doc_id query_id", "title ref")
+    pairs = [(q, d, r, x) for q, r in rows if q % 20 == 0 and r for d, x in rows if x]
+    ratio = lambda a, b: SequenceMatcher(None, a, b).ratio()
+    got = lambda df: {(r[0], r[1]): round(r[2], 9) for r in df.collect()}
+    rounded = lambda x: {k: round(v, 9) for k, v in x.items()}
+    assert got(similarity.similar(asked, t, 0.4)) == rounded({(q, d): s for q, d, r, x in pairs if r != x and (s := ratio(r, x)) >= 0.4})
+    assert got(similarity.token_similar(asked, t)) == rounded({(q, d): s for q, d, r, x in pairs if (s := _jaccard(_tokens(r), _tokens(x))) > 0})
+    for a, b, least in ((0.7, 0.3, 0.35), (0.3, 0.7, 0.25)):
+        scores = {(q, d): a * ratio(r.lower(), x.lower()) + b * _jaccard(_tokens(r), _tokens(x)) for q, d, r, x in pairs if r != x}
+        assert got(similarity.related(asked, t, a, b, least)) == rounded({k: v for k, v in scores.items() if v >= least})
+    expected = {}
+    for q, d, r, x in pairs:
+        own, s = _tokens(r.lower()), ratio(r.lower(), x.lower())
+        overlap = len(own & _tokens(x.lower())) / len(own) if own else 0.0
+        score = 1.0 if r.lower() in x.lower() else s if s >= 0.5 else overlap if overlap >= 0.5 else None
+        if score is not None:
+            expected[q, d] = score
+    assert got(similarity.fuzzy(asked, t, 0.5)) == rounded(expected)
+
+
+def test_clusters_against_a_greedy_loop(spark):
+    rng = random.Random(12)
+    base = "the minister of the eastern region said on monday that the bridge would be rebuilt soon"
+    titles = sorted({x for x in _titles() if x} | {base} | {"".join(rng.choice("xyzqj") if rng.randrange(8) == 0 else c for c in base) for _ in range(30)})
+    weights = {x: float(rng.randrange(5)) for x in titles}
+    leads, of = [], {}
+    for x in sorted(titles, key=lambda x: (-weights[x], x)):
+        of[x] = next((y for y in leads if _may(y, x) and SequenceMatcher(None, y, x).ratio() >= 0.7), x)
+        leads += [x] if of[x] == x else []
+    df = spark.createDataFrame([(x, 1, w, 1, ["s"]) for x, w in weights.items()], "title string, n long, weight double, best_rank int, sources array<string>")
+    assert {r.leader: r["size"] for r in similarity.clusters(df, 0.7).collect()} == {y: sum(z == y for z in of.values()) for y in leads}
+
+
+def _may(a, b):
+    return min(len(a), len(b)) >= 0.35 * max(len(a), len(b)) and _jaccard(set(a), set(b)) >= 0.35

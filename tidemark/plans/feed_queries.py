@@ -115,11 +115,15 @@ def hotlist_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.ranked_list(raw).select("source_id", "title", F.array_join(F.transform("ranks", lambda r: r.cast("string")), ",").alias("ranks"))
 
 
+#: Entries go to bodies of so many ids, so that a busy feed is not one row.
+_BODY = "floor(item_id / 500)"
+
+
 @query(with_("rss", body=" SELECT feed_id, CASE WHEN item_id % 3 = 0 THEN substr(summary, 1, 20) || '...' ELSE trim(title) END AS title, CASE WHEN guid = '' THEN url ELSE guid END AS guid FROM rss WHERE CASE WHEN item_id % 3 = 0 THEN 'x' ELSE title END <> ''"))
 def jsonfeed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-6, SRC-7: JSON feeds, written and parsed; a third of the entries lack a title."""
     item = F.struct(F.col("guid").alias("id"), "url", F.when(F.col("item_id") % 3 != 0, F.col("title")).alias("title"), F.when((F.col("item_id") % 3 == 0), F.col("summary")).otherwise("").alias("summary"))
-    raw = S.rss(spark, sf_dir).where("item_id % 3 = 0 or title <> ''").groupBy("feed_id").agg(F.to_json(F.struct(F.lit("https://jsonfeed.org/version/1.1").alias("version"), F.collect_list(item).alias("items"))).alias("body"))
+    raw = S.rss(spark, sf_dir).where("item_id % 3 = 0 or title <> ''").groupBy("feed_id", F.expr(_BODY).alias("body_no")).agg(F.to_json(F.struct(F.lit("https://jsonfeed.org/version/1.1").alias("version"), F.collect_list(item).alias("items"))).alias("body"))
     return feeds.json_feed(raw).select("feed_id", "title", "guid")
 
 
@@ -129,7 +133,7 @@ def rss_xml_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     esc = X.html_escape
     item = F.concat(F.lit("<item><title>"), esc(F.col("title")), F.lit("</title><link>"), esc(F.col("url")), F.lit("</link><guid>i"), F.col("item_id").cast("string"), F.lit("</guid></item>"))
     body = F.concat(F.when(F.col("feed_id") == "src3", F.lit("<!DOCTYPE rss>")).otherwise(F.lit("")), F.lit("<rss><channel><title>t</title>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>"))
-    return feeds.rss_items(S.rss(spark, sf_dir).groupBy("feed_id").agg(body.alias("body"))).select("feed_id", "link", "guid")
+    return feeds.rss_items(S.rss(spark, sf_dir).groupBy("feed_id", F.expr(_BODY).alias("body_no")).agg(body.alias("body"))).select("feed_id", "link", "guid")
 
 
 @query(with_("rss", body=""", u AS (SELECT url, feed_id, item_id, CASE WHEN published_at >= TIMESTAMP '2024-01-02' THEN 0 ELSE 1 END AS old FROM rss WHERE published_at < TIMESTAMP '2024-01-03'),
@@ -189,12 +193,12 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.titles_doc(spark, sf_dir).select("doc_id", *[F.array_join(f(t), " ").alias(n) for n, f in (("a", X.tokens_analytics), ("b", X.tokens_search), ("c", X.tokens_auto))])
 
 
-@query(r""" SELECT doc_id, trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')) AS clean, replace(replace(replace(replace(replace(substr(text, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped,
+@query(r""" SELECT doc_id, trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')) AS clean, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped,
 CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE text END AS short, len(range(0, greatest(ceil(length(text) / 1500)::INT, 1))) AS n_chunks FROM documents""")
 def text_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX-7, TX-9, TX-10, TX-20: cleaned, escaped, truncated and cut texts."""
     t = F.col("text")
-    return S.table(spark, sf_dir, "documents").select("doc_id", X.clean_title(t).alias("clean"), X.html_escape(F.substring(t, 1, 200)).alias("escaped"), X.truncate(t, 100).alias("short"), F.size(X.chunks(t, 1500)).cast("long").alias("n_chunks"))
+    return S.table(spark, sf_dir, "documents").select("doc_id", X.clean_title(t).alias("clean"), X.html_escape(t).alias("escaped"), X.truncate(t, 100).alias("short"), F.size(X.chunks(t, 1500)).cast("long").alias("n_chunks"))
 
 
 @query(r""" SELECT page_id, regexp_replace(regexp_replace('**' || page_id || '** [' || url || '](' || url || ')', '\[([^\]]+)\]\(([^)]+)\)', '<\2|\1>', 'g'), '\*\*([^*]+)\*\*', '*\1*', 'g') AS mrkdwn, regexp_replace('[' || url || '\]', '([\\\[\]])', '\\\1', 'g') AS escaped,

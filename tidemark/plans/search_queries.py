@@ -67,48 +67,58 @@ def search_rss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.rss(spark, sf_dir).withColumn("match_in", hit).where("match_in is not null").select("item_id", "feed_id", "match_in")
 
 
-_REF = "(SELECT title FROM titles_doc WHERE title <> '' ORDER BY doc_id LIMIT 1)"
+#: The stated queries of a search: titles of the rows whose id is divisible by this, against all rows.
+EVERY = 20
+_QUERIES = f"SELECT doc_id AS query_id, title AS ref FROM titles_doc WHERE doc_id % {EVERY} = 0 AND title <> ''"
 
 
-def _reference(t: DataFrame) -> DataFrame:
-    return F.broadcast(t.where("title <> ''").orderBy("doc_id").limit(1).select(F.col("title").alias("ref")))
+def _asked(t: DataFrame) -> DataFrame:
+    return t.where((F.col("doc_id") % EVERY == 0) & (F.col("title") != "")).select(F.col("doc_id").alias("query_id"), F.col("title").alias("ref"))
 
 
-@query(with_("titles_doc", body=f""", x AS (SELECT doc_id, list_distinct({_TOK_B('title')}) AS a, list_distinct({_TOK_B(_REF)}) AS b FROM titles_doc)
-SELECT doc_id, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0.0 ELSE len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) END, 6) AS jaccard FROM x"""))
+@query(with_("titles_doc", body=f""", q AS (SELECT query_id, list_distinct({_TOK_B('ref')}) AS b FROM ({_QUERIES})), t AS (SELECT doc_id, list_distinct({_TOK_B('title')}) AS a FROM titles_doc)
+SELECT query_id, doc_id, round(len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))), 6) AS jaccard FROM q JOIN t ON list_has_any(a, b)"""))
 def token_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SIM-3, TX-5: similarity of each title's tokens to the first title's."""
+    """SIM-3, TX-5: similarity of the tokens of each title and each query that share one."""
     t = S.titles_doc(spark, sf_dir)
-    return t.crossJoin(_reference(t)).select("doc_id", F.round(M.jaccard(X.tokens_search(F.col("title")), X.tokens_search(F.col("ref"))), 6).alias("jaccard"))
+    return M.token_similar(_asked(t), t).withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query()
 def similar_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SIM-1, SIM-7, JN-17: sequence ratio to the first title, in its own case."""
+    """SIM-1, SIM-7, JN-17: sequence ratio to each query, in its own case."""
     t = S.titles_doc(spark, sf_dir)
-    s = t.crossJoin(_reference(t)).where("title <> ref").withColumn("similarity", M.ratio(F.col("ref"), F.col("title")))
-    return s.where("similarity >= 0.4").select("doc_id", "title", F.round("similarity", 3).alias("similarity"))
+    return M.similar(_asked(t), t, 0.4).withColumn("similarity", F.round("similarity", 3))
+
+
+@query()
+def similar_titles_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OR-7: each query's ten most similar titles."""
+    t = S.titles_doc(spark, sf_dir)
+    best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
+    top = M.similar(_asked(t), t, 0.4).withColumn("place", F.row_number().over(best)).where("place <= 10")
+    return top.select("query_id", "place", "doc_id", F.round("similarity", 3).alias("similarity"))
 
 
 @query()
 def related_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SE-4, SIM-2, SIM-5: .7 of the lower-cased ratio and .3 of the token similarity."""
     t = S.titles_doc(spark, sf_dir)
-    return M.related(t.crossJoin(_reference(t)), 0.7, 0.3, 0.35).select("doc_id", "title", F.round("score", 3).alias("score"))
+    return M.related(_asked(t), t, 0.7, 0.3, 0.35).withColumn("score", F.round("score", 3))
 
 
 @query()
 def related_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SE-3, SIM-5: the same with the weights turned."""
     t = S.titles_doc(spark, sf_dir)
-    return M.related(t.crossJoin(_reference(t)), 0.3, 0.7, 0.25).select("doc_id", "title", F.round("score", 4).alias("score"))
+    return M.related(_asked(t), t, 0.3, 0.7, 0.25).withColumn("score", F.round("score", 4))
 
 
 @query()
 def fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SIM-4: holds the query; else the ratio; else half of the query's tokens."""
-    t = S.titles_doc(spark, sf_dir).withColumn("ref", F.lit("the thing and nation"))
-    return M.fuzzy(t, 0.5).select("doc_id", "title", F.round("score", 4).alias("score"))
+    t = S.titles_doc(spark, sf_dir)
+    return M.fuzzy(_asked(t), t, 0.5).withColumn("score", F.round("score", 4))
 
 
 @query()
@@ -119,11 +129,11 @@ def story_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.clusters(one, 0.7)
 
 
-@query(with_("titles_doc", body=""", t AS (SELECT DISTINCT title FROM titles_doc WHERE title <> ''), x AS (SELECT title, list_distinct(string_split(title, '')) AS c FROM t)
-SELECT a.title AS title_a, b.title AS title_b FROM x a JOIN x b ON a.title < b.title AND substr(a.title, 1, 12) = substr(b.title, 1, 12)
-WHERE least(length(a.title), length(b.title)) >= 0.35 * greatest(length(a.title), length(b.title)) AND len(list_intersect(a.c, b.c)) >= 0.35 * (len(a.c) + len(b.c) - len(list_intersect(a.c, b.c)))"""))
+@query(with_("titles_doc", body=""", x AS (SELECT doc_id, length(title) AS n, list_sort(list_distinct(string_split(title, ''))) AS c FROM titles_doc WHERE title <> ''),
+k AS (SELECT n, c, min(doc_id) AS class_id FROM x GROUP BY 1, 2),
+l AS (SELECT a.class_id, count(*) AS n_links FROM k a JOIN k b ON a.class_id <> b.class_id AND least(a.n, b.n) >= 0.35 * greatest(a.n, b.n)
+AND len(list_intersect(a.c, b.c)) >= 0.35 * (len(a.c) + len(b.c) - len(list_intersect(a.c, b.c))) GROUP BY 1)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM x JOIN k USING (n, c) LEFT JOIN l USING (class_id)"""))
 def char_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SIM-6: the prefilter by length and letters, of distinct titles that begin alike."""
-    t = S.titles_doc(spark, sf_dir).where("title <> ''").select("title").distinct().withColumn("head", F.substring("title", 1, 12))
-    a, b = t.select("head", F.col("title").alias("title_a")), t.select("head", F.col("title").alias("title_b"))
-    return a.join(b, "head").where("title_a < title_b").where(M.may_match(F.col("title_a"), F.col("title_b"), 0.7)).select("title_a", "title_b")
+    """SIM-6: the prefilter by length and letters, of all titles: classes that it can't tell apart, and their links."""
+    return M.may_match_classes(S.titles_doc(spark, sf_dir), 0.7)

@@ -23,7 +23,7 @@ SQL = {
         SELECT CAST(e.ts AS DATE) AS date, e.event_type AS source_id, substr(trim(split_part(d.text, chr(10), 1)), 1, 80) AS title, e.ts, e.event_id, 1 + CAST(json_extract(e.props, '$.k') AS INT) % 30 AS rank
         FROM events e JOIN documents d ON e.user_id = d.doc_id) WHERE title <> '' GROUP BY 1, 2, 3""",
     "titles_doc": "SELECT doc_id, source AS source_id, lang, substr(trim(split_part(text, chr(10), 1)), 1, 80) AS title FROM documents",
-    "rss": """SELECT d.doc_id AS item_id, d.source AS feed_id, substr(trim(split_part(d.text, chr(10), 1)), 1, 80) AS title, substr(d.text, 1, 500) AS summary, p.url, e.ts AS published_at,
+    "rss": """SELECT d.doc_id AS item_id, d.source AS feed_id, substr(trim(split_part(d.text, chr(10), 1)), 1, 80) AS title, d.text AS summary, p.url, e.ts AS published_at,
         CASE WHEN d.doc_id % 2 = 1 THEN '' ELSE 'g' || d.doc_id END AS guid
         FROM documents d JOIN events e ON d.doc_id = e.event_id JOIN pages p ON p.page_id = d.doc_id % (SELECT COUNT(*) FROM pages)""",
     "articles": """SELECT o_orderkey AS article_key, o_custkey % 50 AS group_no, CASE o_orderpriority WHEN '1-URGENT' THEN 'alpha' WHEN '2-HIGH' THEN 'alpha' ELSE 'beta' END AS publisher,
@@ -94,10 +94,10 @@ def rss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed entries; urls repeat."""
     d, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").alias("published_at"))
-    n = pages.count()
-    rows = d.join(e, "doc_id").withColumn("page_id", F.col("doc_id") % n).join(pages.select("page_id", "url"), "page_id")
+    n = F.broadcast(pages.agg(F.count("*").alias("n_pages")))  # one row
+    rows = d.join(e, "doc_id").crossJoin(n).withColumn("page_id", F.col("doc_id") % F.col("n_pages")).join(pages.select("page_id", "url"), "page_id")
     guid = F.when(F.col("doc_id") % 2 == 1, F.lit("")).otherwise(F.concat(F.lit("g"), F.col("doc_id").cast("string")))
-    return rows.select(F.col("doc_id").alias("item_id"), F.col("source").alias("feed_id"), first_line("text").alias("title"), F.substring("text", 1, 500).alias("summary"), "url", "published_at", guid.alias("guid"))
+    return rows.select(F.col("doc_id").alias("item_id"), F.col("source").alias("feed_id"), first_line("text").alias("title"), F.col("text").alias("summary"), "url", "published_at", guid.alias("guid"))
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
