@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm import brute
-from tidemark.llm import bpe, token_files
+from tidemark.llm import bpe, token_files, word_bpe
 from tidemark.llm.registry import RANK_FILE, WORD_FILE, op2_byte_bpe, op10_token_files
+from tidemark.llm.words import chunks
 
 TOKENS = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 FILES = ["doc_id", "start", "n_tokens", "ids_crc32"]
@@ -129,3 +131,37 @@ def test_one_document_by_select(spark, small):
     with pytest.raises(ValueError):
         token_files.Shard(b"NOTTHEIR" + row.data[8:])
     assert spark.read.parquet(path).agg(F.sum("docs")).first()[0] == len(texts)
+
+
+ODD = st.lists(st.one_of(st.sampled_from(["the ", "'s", "'LL", " ", "\n", "0", "19", ".,", "É", "ß", "×", "œ", "é", "日本", "İ", "\x00", "\x1f", " ", "<|endoftext|>", "abcdefghijklmnopqrst"]), st.characters(exclude_categories=("Cs",))), max_size=25).map("".join)
+
+
+@pytest.fixture(scope="module")
+def words():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(WORD_FILE), [word_bpe.WordEncoder(WORD_FILE), word_bpe.WordEncoder(WORD_FILE, remembered=30)]
+
+
+def _by_words(encoder, texts):
+    out = []
+    for _, _, data, offsets in chunks(pa.array(texts, pa.string())):
+        ids, at = encoder.encode(data, offsets)
+        out += [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)]
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(ODD, min_size=1, max_size=6))
+def test_words_of_any_texts(texts, words):
+    """Also where what is remembered is forgotten at every call."""
+    library, encoders = words
+    for e in encoders:
+        assert _by_words(e, texts) == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_words_of_documents(small, words):
+    library, encoders = words
+    texts = [t or "" for _, t in small[1]]
+    expected = [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert all(_by_words(e, texts) == expected for e in encoders)

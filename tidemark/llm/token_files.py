@@ -15,13 +15,10 @@ doc_id are ordered by text. An empty table gives no shard and no row. Other colu
 
 from __future__ import annotations
 
-import json
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import keyed, prepare, shared_dir, unkeyed
+from tidemark.llm.word_bpe import word_encoder
+from tidemark.llm.words import chunks
 
 MAGIC = b"TIDEIDS1"
 _HEAD = struct.Struct("<8sB7xQQq")
@@ -37,8 +36,6 @@ _SEQ = struct.Struct("<QQBxxxxxxx")
 _EVERY = 64
 #: Ids in a shard, unless one document has more.
 SHARD_IDS = 1 << 20
-#: Words whose ids a Python worker remembers: so many met of late, and as many before them.
-CACHE_WORDS = 700_000
 
 
 class EliasFano:
@@ -134,86 +131,24 @@ class Shard:
         return self.body[self.ends[i] : self.ends[i + 1]]
 
 
-def _byte_letters() -> list[str]:
-    """The printable letter that byte-level vocabularies write for each byte: itself, or the next free one from 256."""
-    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    free = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(free)) for b in range(256)]
-
-
 class WordCache:
-    """Ids of words by the tokenizers library.
-
-    The pre-tokenizer never lets a token hold white space, so a text's ids are those of its words (split at ASCII
-    white space), one after another; each distinct word is encoded once while it is remembered. Words of plain Latin
-    letters, digits and signs, where lower case and normal form are beyond doubt, are split into pre-tokens here and
-    only their merges are the library's; any other word goes through the library's whole chain.
-    """
+    """The ids of texts as bytes, `width` of them an id; words met before are remembered."""
 
     def __init__(self, tokenizer_file: str, width: int):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of an executor share its cores already
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        steps = json.loads(self.tokenizer.to_str())
-        split = [x for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split"]
-        #: The chain that the short way stands for; any other goes the whole way.
-        chain = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])], [x["type"] for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        if chain == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) and split[0]["invert"] and split[0]["behavior"] == "Removed":
-            self.plain = regex.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e]+").fullmatch
-            self.find = regex.compile(split[0]["pattern"]["Regex"]).findall
-        else:
-            self.plain, self.find = (lambda x: None), None
-        self.merges = Tokenizer(self.tokenizer.model)
-        self.letters = _byte_letters()
-        self.code = "H" if width == 2 else "I"  # of the machine's byte order, little-endian wherever Spark runs
-        self.known, self.older, self.pieces = {}, {}, {}
-
-    def learn(self, words: Iterable[bytes], special: bool) -> None:
-        """special: whether a special token may stand in these words."""
-        known, pieces, cut, code = self.known, self.pieces, {}, self.code
-        plain, find = self.plain, self.find
-        for w in words:
-            text = w.decode()
-            if plain(text) and not (special and any(x in text for x in self.special)):
-                cut[w] = find(text.lower())
-            else:
-                known[w] = array(code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(pieces) > CACHE_WORDS:
-            pieces.clear()
-        new = list({p for found in cut.values() for p in found}.difference(pieces))
-        letters = [p if p.isascii() else "".join([self.letters[b] for b in p.encode()]) for p in new]
-        for p, e in zip(new, self.merges.encode_batch_fast(letters, add_special_tokens=False), strict=True):
-            pieces[p] = array(code, e.ids).tobytes()
-        for w, found in cut.items():
-            known[w] = pieces[found[0]] if len(found) == 1 else b"".join([pieces[p] for p in found])
-
-    def bodies(self, texts: list[str]) -> list[bytes]:
-        special = any(x in text for x in self.special for text in texts)
-        split = [x.encode().split() for x in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        new = set().union(*split).difference(known)
-        again = new.intersection(older)
-        known.update(zip(again, map(older.__getitem__, again), strict=True))
-        self.learn(new - again, special)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-
-@lru_cache(maxsize=2)
-def word_cache(tokenizer_file: str, width: int) -> WordCache:
-    """One for all tasks of a Python worker, so that its words are learned once."""
-    return WordCache(tokenizer_file, width)
+        self.encoder, self.width = word_encoder(tokenizer_file), width
+
+    def bodies(self, texts: list[str] | pa.Array) -> list[bytes]:
+        out = []
+        for _, _, data, offsets in chunks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())):
+            ids, bounds = self.encoder.encode(data, offsets)
+            raw, at = ids.astype(f"<u{self.width}").tobytes(), (bounds * self.width).tolist()
+            out += [raw[x:y] for x, y in zip(at, at[1:], strict=False)]
+        return out
 
 
 def _encoded(tokenizer_file: str, end_id: int, width: int, shard_ids: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part, seq = word_cache(tokenizer_file, width), TaskContext.get().partitionId(), 0
+        cache, part, seq = WordCache(tokenizer_file, width), TaskContext.get().partitionId(), 0
         end = end_id.to_bytes(width, "little")
         ids: list[int] = []
         bodies: list[bytes] = []
@@ -225,7 +160,7 @@ def _encoded(tokenizer_file: str, end_id: int, width: int, shard_ids: int):
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for k in range(0, len(keys), 500):
-                for key, body in zip(keys[k : k + 500], cache.bodies(texts[k : k + 500].to_pylist()), strict=True):
+                for key, body in zip(keys[k : k + 500], cache.bodies(texts[k : k + 500]), strict=True):
                     if ids and held + len(body) > shard_ids * width:
                         yield shard()
                         within += held // width
