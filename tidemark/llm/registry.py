@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_extract, line_dedup, pii, quality, secrets, simhash, substring_dedup, token_files
+from tidemark.llm import bpe, decontaminate, html_extract, line_dedup, packing, pii, quality, secrets, simhash, substring_dedup, token_files
 from tidemark.llm.tables import read
 
 #: The vocabularies; another folder's can be given here.
@@ -56,6 +57,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.new_path(spark, "op13-pieces")
+    packing.write_pieces(read(spark, sf_dir, "documents"), path, WORD_FILE)
+    pieces = packing.read_pieces(spark, path)
+    return packing.placed(pieces.withColumn("ids_crc32", packing.crc32_of(F.col("ids"), packing.id_width(49408, 1))).drop("ids"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -63,7 +71,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op9_html_extract, op10_token_files, pipeline)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op9_html_extract, op10_token_files, op13_best_fit_packing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
