@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import prepare
-from tidemark.llm.word_bpe import word_encoder
+from tidemark.llm.word_bpe import CHUNK, word_encoder
 from tidemark.llm.words import chunks
 
 CAPACITY = 4096
@@ -62,7 +62,7 @@ def _cut(tokenizer_file: str, end_id: int, capacity: int, width: int):
         encoder, part = word_encoder(tokenizer_file), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for a, b, data, offsets in chunks(batch.column(1)):
+            for a, b, data, offsets in chunks(batch.column(1), CHUNK):
                 ids, bounds = encoder.encode(data, offsets)
                 ids = np.insert(ids, bounds[1:], end_id).astype(f"<u{width}")
                 size = np.diff(bounds) + 1

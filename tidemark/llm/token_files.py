@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import keyed, prepare, shared_dir, unkeyed
-from tidemark.llm.word_bpe import word_encoder
+from tidemark.llm.word_bpe import CHUNK, word_encoder
 from tidemark.llm.words import chunks
 
 MAGIC = b"TIDEIDS1"
@@ -139,7 +139,7 @@ class WordCache:
 
     def bodies(self, texts: list[str] | pa.Array) -> list[bytes]:
         out = []
-        for _, _, data, offsets in chunks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())):
+        for _, _, data, offsets in chunks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), CHUNK):
             ids, bounds = self.encoder.encode(data, offsets)
             raw, at = ids.astype(f"<u{self.width}").tobytes(), (bounds * self.width).tolist()
             out += [raw[x:y] for x, y in zip(at, at[1:], strict=False)]

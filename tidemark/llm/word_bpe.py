@@ -20,7 +20,9 @@ from tidemark.llm.words import SPACE
 #: Bytes of the longest pre-token that is merged here.
 LONGEST = 16
 #: Pre-tokens and words that a Python worker remembers; beyond it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
+#: UTF-8 bytes of the texts that are encoded together.
+CHUNK = 1 << 20
 #: Pre-tokens that are merged together.
 TOGETHER = 20_000
 

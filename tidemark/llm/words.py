@@ -96,14 +96,14 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about CHUNK bytes: first row, row after the last, their bytes, their offsets."""
+def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows of about `size` bytes: first row, row after the last, their bytes, their offsets."""
     if not len(column):
         return
     data, offsets = buffers(column)
     row = 0
     while row < len(column):
-        stop = int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         stop = min(max(stop, row + 1), len(column))
         yield row, stop, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
         row = stop
