@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_extract, line_dedup, packing, pii, quality, secrets, simhash, substring_dedup, token_files
+from tidemark.llm import bpe, decontaminate, html_extract, line_dedup, packing, periodic_runs, pii, quality, secrets, simhash, substring_dedup, token_files
 from tidemark.llm.tables import read
 
 #: The vocabularies; another folder's can be given here.
@@ -57,6 +59,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+def _echoed(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The words that the contract puts in the place of a tenth of all texts' own: from word a on, the p words from there again and again."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(read(spark, sf_dir, "documents"), layout=_echoed))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark, "op13-pieces")
     packing.write_pieces(read(spark, sf_dir, "documents"), path, WORD_FILE)
@@ -71,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op9_html_extract, op10_token_files, op13_best_fit_packing, pipeline)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op9_html_extract, op10_token_files, op11_periodic_runs, op13_best_fit_packing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
