@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_extract, line_dedup, packing, periodic_runs, pii, quality, secrets, simhash, substring_dedup, token_files
-from tidemark.llm.tables import read
+from tidemark.llm import bpe, decontaminate, html_extract, line_dedup, packing, periodic_runs, pii, prefix_trie, quality, secrets, simhash, substring_dedup, token_files
+from tidemark.llm.tables import cut, read
 
 #: The vocabularies; another folder's can be given here.
 RANK_FILE, WORD_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
@@ -75,6 +75,22 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(read(spark, sf_dir, "documents"), layout=_echoed))
 
 
+def _rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The conversations that the contract puts in the place of those given: the first h turns of conversation c - c % 5, then c's own after its first h."""
+    sizes = prefix_trie.sizes_of(turns)
+    of = sizes.withColumn("h", F.crc32(F.col("conv").cast("string")) % 9).withColumn("base", F.col("conv") - F.pmod("conv", F.lit(5)))
+    of = of.join(sizes.select(F.col("conv").alias("base"), F.col("n_turns").alias("n_base")), "base", "left").withColumn("taken", F.least("h", F.coalesce("n_base", F.lit(0))))
+    of = cut(of.withColumn("n_turns", F.col("taken") + F.greatest(F.col("n_turns") - F.col("h"), F.lit(0))))
+    heads = turns.where("at < 8").withColumnRenamed("conv", "base").join(of.select("base", "conv", "taken"), "base").where("at < taken").select(*turns.columns)
+    own = turns.join(of.select("conv", "h", "taken"), "conv").where("at >= h").withColumn("at", F.col("at") - F.col("h") + F.col("taken")).select(*turns.columns)
+    return heads.unionByName(own), of.select("conv", "n_turns")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = cut(prefix_trie.turns_of(read(spark, sf_dir, "conversations")))
+    return prefix_trie.with_digests(prefix_trie.trie(*_rebuilt(turns)))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark, "op13-pieces")
     packing.write_pieces(read(spark, sf_dir, "documents"), path, WORD_FILE)
@@ -89,7 +105,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op9_html_extract, op10_token_files, op11_periodic_runs, op13_best_fit_packing, pipeline)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_byte_bpe, op3_secrets, op4_decontaminate, op5_simhash, op6_quality, op7_personal_data, op8_line_dedup, op9_html_extract, op10_token_files, op11_periodic_runs, op12_prefix_trie, op13_best_fit_packing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
