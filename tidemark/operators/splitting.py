@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,3 +48,30 @@ def split_column(most: int):
         return texts.map(lambda x: split_text(x or "", most))
 
     return run
+
+
+def split_lines(text: str, most: int, head: str = "") -> list[str]:
+    """RP-9: parts of at most `most` UTF-8 bytes with all that the text has: cut after lines, and inside those that are longer.
+
+    Every part but the first begins with head once more, unless that takes over half of a part."""
+    head = head if 2 * len(head.encode()) <= most else ""
+    out, held, own = [], "", False
+    for line in re.findall(r"[^\n]*\n|[^\n]+", text):
+        while len((held + line).encode()) > most:
+            if not own:  # a line that a part of its own doesn't hold
+                piece = _prefix(line, most - len(held.encode()))
+                held, line = held + piece, line[len(piece) :]
+            out.append(held)
+            held, own = head, False
+        held, own = held + line, own or bool(line)
+    return [*out, held] if own else out
+
+
+def lines_within(most: int):
+    """split_lines of columns of texts and heads; null where the text is."""
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series, heads: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else split_lines(x, most, h) for x, h in zip(texts, heads, strict=True)])
+
+    return run

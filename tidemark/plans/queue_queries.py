@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import backoff as backoff_of
-from tidemark.operators.delivery import packed
 from tidemark.plans.catalog import query
 from tidemark.sources import tables as S
 from tidemark.sources.tables import with_
@@ -165,21 +164,6 @@ def period_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, (F.col("period_a") < F.col("period_b")) & (F.col("s1") < F.col("e2")) & (F.col("s2") < F.col("e1"))).select("period_a", "period_b").distinct()
 
 
-@query()
-def message_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RP-8, RP-9: titles of each source and day in batches of 4,000 bytes."""
-    t = S.titles(spark, sf_dir).select(F.concat_ws("/", "source_id", F.col("date").cast("string")).alias("key"), "title", "pos")
-    return packed(t, "key", ["pos"], "title", 4000, "**list**\n")
-
-
-@query()
-def message_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OX-8: shared articles of a publisher and month in messages of 3,800 bytes."""
-    a = S.articles(spark, sf_dir).where("status = 'shared'")
-    line = F.concat(F.lit("- article "), F.col("article_key").cast("string"), F.lit(" doc "), "document_id")
-    return packed(a.select(F.concat_ws("/", "publisher", F.floor(F.col("discovered_at") / 2592000).cast("string")).alias("key"), line.alias("line"), "article_key"), "key", ["article_key"], "line", 3800)
-
-
 _TURNS = r""" WITH l AS (SELECT conv_id, turn, i, s[i] AS line FROM (SELECT conv_id, turn, string_split('[1] ' || replace(text, '. ', chr(10) || '[2] '), chr(10)) AS s, unnest(range(1, len(string_split('[1] ' || replace(text, '. ', chr(10) || '[2] '), chr(10))) + 1)) AS i FROM conversations)),
 n AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^\[[0-9]+\] ') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, turn ORDER BY i) AS part FROM l)
 SELECT conv_id, turn, part::BIGINT AS part, string_agg(regexp_replace(line, '^\[[0-9]+\] ', ''), ' ' ORDER BY i) AS body FROM n GROUP BY 1, 2, 3"""
