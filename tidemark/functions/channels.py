@@ -1,6 +1,6 @@
-"""How texts and titles are written for each channel: a dialect says what a channel shows, rewriting steps follow from it.
+"""How texts and titles are written for each channel: what it makes of each element of Markdown, and the steps that follow from it.
 
-Steps are (pattern, replacement) with \\1 for a group, so the same list makes a column expression and SQL.
+A step is (pattern, replacement) with \\1 for a group, so the same list makes a column expression and SQL.
 """
 
 from __future__ import annotations
@@ -10,56 +10,55 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_FONT = (r"<font[^>]*>(.+?)</font>", r"\1")
-_LINK, _BOLD, _ITALIC, _STRIKE, _CODE = r"\[([^\]]+)\]\(([^)]+)\)", r"\*\*(.+?)\*\*", r"\*(.+?)\*", "~~(.+?)~~", "`(.+?)`"
-_RULE, _QUOTE, _HEADING = r"(?m)^[\-\*]{3,}[ \t]*$", r"(?m)^>[ \t]*", r"(?m)^#{1,6}[ \t]+(.+)$"
-_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")]
-#: Stand for the marks of a quotation while the text is escaped.
-_OPEN, _CLOSE = "\ue000", "\ue001"
+from tidemark.functions import markdown
 
 
-@dataclass(frozen=True)
-class Dialect:
-    """What a channel does with Markdown: None leaves a feature as it is."""
-
-    fonts: bool = False
-    headings: tuple[str, str] | None = None
-    rules: str | None = None
-    quotes: bool = True
-    strike: str | None = None
-    blank_lines: int = 2
-    before: tuple[tuple[str, str], ...] = ()
-    after: tuple[tuple[str, str], ...] = ()
-
-    def steps(self) -> list[tuple[str, str]]:
-        out = [] if self.fonts else [_FONT]
-        out += self.before
-        out += [self.headings] if self.headings else []
-        out += [(_RULE, self.rules)] if self.rules is not None else []
-        out += [] if self.quotes else [(_QUOTE, "")]
-        out += [(_STRIKE, self.strike)] if self.strike is not None else []
-        return [*out, *self.after, (rf"\n{{{self.blank_lines + 1},}}", "\n" * self.blank_lines)]
-
-
-_BOLD_HEADING = (_HEADING, r"**\1**")
-_TO_TAGS = ((_LINK, r'<a href="\2">\1</a>'), (_BOLD, r"<b>\1</b>"), (_ITALIC, r"<i>\1</i>"), (_STRIKE, r"<s>\1</s>"), (_CODE, r"<code>\1</code>"))
-#: TX-14.
-DIALECTS = {
-    "feishu": Dialect(fonts=True, headings=_BOLD_HEADING, quotes=False),
-    "dingtalk": Dialect(headings=(r"(?m)^#{1,2}[ \t]+(.+)$", r"### \1"), strike=r"\1"),
-    "wework": Dialect(headings=_BOLD_HEADING, rules="\n\n", strike=r"\1", blank_lines=3),
-    "ntfy": Dialect(),
-    "bark": Dialect(headings=_BOLD_HEADING, rules="\n", quotes=False, strike=r"\1"),
-    "slack": Dialect(headings=_BOLD_HEADING, rules="", strike=r"~\1~", before=((_LINK, r"<\2|\1>"),), after=((r"\*\*([^*]+)\*\*", r"*\1*"),)),
-    "telegram": Dialect(
-        headings=_BOLD_HEADING, rules="", quotes=False, before=((r"(?m)(^>[^\n]*(?:\n>[^\n]*)*)", f"{_OPEN}\n\\1\n{_CLOSE}"),),
-        after=(*_ESCAPES, (_OPEN, "<blockquote>"), (_CLOSE, "</blockquote>"), *_TO_TAGS),
+def _between(mark: str, inner: str = ".+?") -> str:
+    quoted = "".join(f"\\{x}" for x in mark)
+    return f"{quoted}({inner}){quoted}"
+
+
+def _lines(begin: str, rest: str = "") -> str:
+    """What begins each line, and the line."""
+    return f"(?m)^{begin}[ \\t]*{rest}"
+
+
+def _held(opening: str, closing: str) -> str:
+    return rf"\{opening}([^\{closing}]+)\{closing}"
+
+
+#: Elements of Markdown, as patterns.
+SYNTAX = {
+    "font": "<font[^>]*>(.+?)</font>", "tag": "<[^>]+>", "bold": _between("**"), "bold only": _between("**", "[^*]+"), "italic": _between("*"), "strike": _between("~~"), "code": _between("`"),
+    "link": _held("[", "]") + _held("(", ")"), "rule": _lines("[-*]{3,}", "$"), "quote": _lines(">"), "quotation": "(?m)(^>[^\\n]*(?:\\n>[^\\n]*)*)", "heading": _lines("#{1,6}", "(.+)$"), "head": _lines("#+"),
+    "&": "&", "<": "<", ">": ">", "(": "\ue000", ")": "\ue001", "line": "\\n", **{f"h{n}": f"(?m)^{'#' * n} (.+)$" for n in (1, 2, 3)}, "large": "(?m)^#{1,2}[ \\t]+(.+)$", **{f"{n} blank": f"\\n{{{n + 1},}}" for n in (2, 3)},
+}
+
+_HEADING, _STRIKE, _NO_FONT = ("heading", r"**\1**"), ("strike", r"\1"), ("font", r"\1")
+_BLANK, _ESCAPED = ("2 blank", "\n\n"), (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"))
+#: TX-14: what each channel makes of elements, in order. The two private letters stand for the marks of a quotation while the text is escaped.
+DIALECTS: dict[str, tuple[tuple[str, str], ...]] = {
+    "feishu": (_HEADING, ("quote", ""), _BLANK),
+    "dingtalk": (_NO_FONT, ("large", r"### \1"), _STRIKE, _BLANK),
+    "wework": (_NO_FONT, _HEADING, ("rule", "\n\n"), _STRIKE, ("3 blank", "\n\n\n")),
+    "ntfy": (_NO_FONT, _BLANK),
+    "bark": (_NO_FONT, _HEADING, ("rule", "\n"), ("quote", ""), _STRIKE, _BLANK),
+    "slack": (_NO_FONT, ("link", r"<\2|\1>"), _HEADING, ("rule", ""), ("strike", r"~\1~"), ("bold only", r"*\1*"), _BLANK),
+    "telegram": (
+        _NO_FONT, ("quotation", "\ue000\n\\1\n\ue001"), _HEADING, ("rule", ""), ("quote", ""), *_ESCAPED, ("(", "<blockquote>"), (")", "</blockquote>"),
+        ("link", r'<a href="\2">\1</a>'), ("bold", r"<b>\1</b>"), ("italic", r"<i>\1</i>"), ("strike", r"<s>\1</s>"), ("code", r"<code>\1</code>"), _BLANK,
+    ),
+    "html": (
+        *_ESCAPED, ("link", r'<a href="\2">\1</a>'), *((f"h{n}", rf"<h{n}>\1</h{n}>") for n in (3, 2, 1)), ("bold", r"<strong>\1</strong>"), ("italic", r"<em>\1</em>"), ("strike", r"<del>\1</del>"),
+        ("code", r"<code>\1</code>"), ("rule", "<hr>"), ("line", "<br>\n"),
     ),
 }
-#: TX-12: Markdown without its marks; links keep their url.
-PLAIN = [
-    (_LINK, r"\1 \2"), (_BOLD, r"\1"), (_ITALIC, r"\1"), (_STRIKE, r"\1"), (_CODE, r"\1"), (_QUOTE, ""), (r"(?m)^#+[ \t]*", ""), (_RULE, ""), _FONT, (r"<[^>]+>", ""), (r"\n{3,}", "\n\n"),
-]
+#: What `plain` does to a text without images, underscores and addresses, in steps; for SQL.
+_PLAIN = (("rule", ""), ("link", r"\1 \2"), _NO_FONT, ("tag", ""), ("quote", ""), ("head", ""), *((x, r"\1") for x in ("bold", "italic", "strike", "code")), _BLANK)
+
+
+def steps(channel: str) -> list[tuple[str, str]]:
+    return [(SYNTAX[x], by) for x, by in (_PLAIN if channel == "plain" else DIALECTS[channel])]
 
 
 def rewritten(text: Column, steps: list[tuple[str, str]]) -> Column:
@@ -76,11 +75,12 @@ def rewritten_sql(text: str, steps: list[tuple[str, str]]) -> str:
 
 
 def adapted(text: Column, channel: str) -> Column:
-    return rewritten(text, DIALECTS[channel].steps())
+    return rewritten(text, steps(channel))
 
 
 def plain(text: Column) -> Column:
-    return rewritten(text, PLAIN)
+    """TX-12."""
+    return markdown.plain(text)
 
 
 @dataclass(frozen=True)

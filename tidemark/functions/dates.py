@@ -1,80 +1,138 @@
-"""Dates in words: expressions are resolved on the driver against a given day; feed dates are parsed as columns."""
+"""Dates in words: expressions are read as tokens on the driver, against a given day; feed dates are parsed as columns."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Days ago of single words. Fixed values.
-DAYS_AGO = {"today": 0, "yesterday": 1, "day before yesterday": 2, "今天": 0, "昨天": 1, "前天": 2, "大前天": 3}
-#: Words for ranges. Fixed values.
-RANGES = {
-    "this_week": ("this week", "current week", "本周", "这周", "当前周"),
-    "last_week": ("last week", "上周"),
-    "this_month": ("this month", "current month", "本月", "这个月", "当前月"),
-    "last_month": ("last month", "上月", "上个月"),
-    "last_7_days": ("past week", "最近一周", "过去一周"),
-    "last_14_days": ("最近两周", "过去两周"),
-    "last_30_days": ("past month", "最近一个月", "过去一个月"),
-}
-_WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
-_WEEKDAYS_ZH = "一二三四五六日"
+#: What a word says, as (kind, value). The words of both languages.
+WORDS: dict[str, tuple[str, int]] = {
+    "today": ("day", 0), "yesterday": ("day", 1), "day before yesterday": ("day", 2), "今天": ("day", 0), "昨天": ("day", 1), "前天": ("day", 2), "大前天": ("day", 3),
+    "days": ("unit", 1), "day": ("unit", 1), "天": ("unit", 1), "week": ("unit", 7), "周": ("unit", 7), "month": ("unit", 30), "个月": ("unit", 30), "月": ("unit", 30),
+    "this": ("this", 0), "current": ("this", 0), "本": ("this", 0), "这": ("this", 0), "这个": ("this", 0), "当前": ("this", 0),
+    "last": ("last", 0), "上": ("last", 0), "上个": ("last", 0), "past": ("past", 0), "最近": ("past", 0), "过去": ("past", 0), "近": ("past", 0),
+    "ago": ("ago", 0), "前": ("ago", 0), "一": ("number", 1), "两": ("number", 2), "年": ("年", 0), "日": ("日", 0), "-": ("-", 0), "/": ("/", 0),
+}
+_ENGLISH = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+WORDS |= {x: ("weekday", i) for i, x in enumerate(_ENGLISH)} | {f"周{x}": ("weekday", i % 7) for i, x in enumerate("一二三四五六日")} | {"周天": ("weekday", 6)}
 _MOST_DAYS = 365
 
+Tokens = list[tuple[str, int]]
 
-def _on(weekday: int, last: bool, as_of: date) -> date:
-    """A weekday of last week; else the latest such day, today included."""
-    monday = as_of - timedelta(as_of.weekday())
-    day = monday + timedelta(weekday)
-    return day - timedelta(7) if last or day > as_of else day
 
+def tokens(words: str) -> Tokens:
+    """Kinds and values of the numbers and known words of an expression, the longest word first; it ends before what is unknown."""
+    text, at, out = words.strip().lower(), 0, []
+    while at < len(text):
+        if text[at] in " _\t":
+            at += 1
+        elif m := re.compile(r"\d+").match(text, at):
+            out.append(("number", int(m[0])))
+            at = m.end()
+        else:
+            word = max((w for w in WORDS if text.startswith(w, at)), key=len, default="")
+            if not word:
+                break
+            out.append(WORDS[word])
+            at += len(word)
+    return out
 
-def date_of(words: str, as_of: date) -> date:
-    """DT-1: one day. A date without a year lies in this year, or the year before if its month is still to come."""
-    text = words.strip().lower()
-    if text in DAYS_AGO:
-        return as_of - timedelta(DAYS_AGO[text])
-    if m := re.match(r"(\d+)\s*(?:天前|days?\s+ago)", text):
-        if int(m[1]) > _MOST_DAYS:
-            raise ValueError(f"too many days: {words}")
-        return as_of - timedelta(int(m[1]))
-    if m := re.match(rf"(last|this)\s+({'|'.join(_WEEKDAYS)})", text):
-        return _on(_WEEKDAYS.index(m[2]), m[1] == "last", as_of)
-    if m := re.match(rf"([上本])周([{_WEEKDAYS_ZH}天])", text):
-        return _on(_WEEKDAYS_ZH.index(m[2].replace("天", "日")), m[1] == "上", as_of)
-    for pattern in (r"(\d{4})-(\d{1,2})-(\d{1,2})", r"(?:(\d{4})年)?(\d{1,2})月(\d{1,2})日", r"(?:(\d{4})/)?(\d{1,2})/(\d{1,2})"):
-        if m := re.match(pattern, text):
-            month = int(m[2])
-            return date(int(m[1]) if m[1] else as_of.year - (month > as_of.month), month, int(m[3]))
+
+def _monday(day: date) -> date:
+    return day - timedelta(day.weekday())
+
+
+def _month(day: date, back: int = 0) -> date:
+    """The first of a month, or of one so many months before."""
+    at = day.year * 12 + day.month - 1 - back
+    return date(at // 12, at % 12 + 1, 1)
+
+
+def _ago(as_of: date, n: int, unit: int) -> date:
+    if unit != 1 or n > _MOST_DAYS:
+        raise ValueError(f"not a number of days: {n}")
+    return as_of - timedelta(n)
+
+
+def _weekday(as_of: date, which: int) -> date:
+    """The latest such day, today included."""
+    return as_of - timedelta((as_of.weekday() - which) % 7)
+
+
+def _dated(as_of: date, month: int, day: int) -> date:
+    """Without a year: in this one, or the year before if the month is still to come."""
+    return date(as_of.year - (month > as_of.month), month, day)
+
+
+#: By kinds of tokens. Rules of one day are given the values in order.
+_DAY_RULES: dict[tuple[str, ...], Callable[..., date]] = {
+    ("day",): lambda t, n: t - timedelta(n),
+    ("number", "unit", "ago"): lambda t, n, unit, _: _ago(t, n, unit),
+    ("last", "weekday"): lambda t, _, w: _monday(t) - timedelta(7 - w),
+    ("this", "weekday"): lambda t, _, w: _weekday(t, w),
+    ("number", "-", "number", "-", "number"): lambda t, y, _, m, __, d: date(y, m, d),
+    ("number", "/", "number", "/", "number"): lambda t, y, _, m, __, d: date(y, m, d),
+    ("number", "年", "number", "unit", "number", "日"): lambda t, y, _, m, __, d, ___: date(y, m, d),
+    ("number", "unit", "number", "日"): lambda t, m, _, d, __: _dated(t, m, d),
+    ("number", "/", "number"): lambda t, m, _, d: _dated(t, m, d),
+}
+
+
+def _stretch(as_of: date, n: int) -> tuple[date, date]:
+    return as_of - timedelta(n - 1), as_of
+
+
+def _whole(as_of: date, unit: int, back: int) -> tuple[date, date]:
+    """This week or month until today, or all of the one before."""
+    if unit == 7:
+        first = _monday(as_of) - timedelta(7 * back)
+        return first, first + timedelta(6) if back else as_of
+    if unit == 30:
+        return _month(as_of, back), _month(as_of) - timedelta(1) if back else as_of
+    raise ValueError("neither week nor month")
+
+
+_RANGE_RULES: dict[tuple[str, ...], Callable[..., tuple[date, date]]] = {
+    ("this", "unit"): lambda t, _, unit: _whole(t, unit, 0),
+    ("last", "unit"): lambda t, _, unit: _whole(t, unit, 1),
+    ("past", "unit"): lambda t, _, unit: _stretch(t, unit),
+    ("past", "number", "unit"): lambda t, _, n, unit: _stretch(t, n * unit),
+    ("last", "number", "unit"): lambda t, _, n, unit: _stretch(t, n * unit),
+}
+
+
+def _by(rules: dict, words: str, as_of: date):
+    """The rule of as many tokens as any has, from the first on; what follows them says nothing."""
+    found = tokens(words)
+    for n in range(len(found), 0, -1):
+        if rule := rules.get(tuple(kind for kind, _ in found[:n])):
+            return rule(as_of, *(value for _, value in found[:n]))
     raise ValueError(f"no date: {words}")
 
 
+def date_of(words: str, as_of: date) -> date:
+    """DT-1: one day."""
+    return _by(_DAY_RULES, words, as_of)
+
+
 def range_of(words: str, as_of: date) -> tuple[date, date]:
     """DT-2: first and last day; this week and month end today, the last n days include it."""
-    text = words.strip().lower()
-    name = next((k for k, of in RANGES.items() if text in of), text)
-    monday, first = as_of - timedelta(as_of.weekday()), as_of.replace(day=1)
-    if name in ("today", "今天", "yesterday", "昨天"):
-        day = date_of(name, as_of)
+    found = tokens(words)
+    if [kind for kind, _ in found] == ["day"] and found[0][1] < 2:
+        day = date_of(words, as_of)
         return day, day
-    if name in ("this_week", "this_month"):
-        return (monday if name == "this_week" else first), as_of
-    if name == "last_week":
-        return monday - timedelta(7), monday - timedelta(1)
-    if name == "last_month":
-        return (first - timedelta(1)).replace(day=1), first - timedelta(1)
-    if m := re.match(r"(?:(?:last|past)[\s_]+|最近|近)(\d+)(?:[\s_]+days?|天)", name):
-        return as_of - timedelta(int(m[1]) - 1), as_of
-    raise ValueError(f"no range: {words}")
+    return _by(_RANGE_RULES, words, as_of)
 
 
 def preset(name: str, as_of: date) -> tuple[date, date]:
     """DT-3: presets of the period comparison, where last week and month are the 7 and 30 days before today."""
-    if name in ("last_week", "last_month"):
-        return as_of - timedelta(7 if name == "last_week" else 30), as_of - timedelta(1)
+    kinds = tokens(name)
+    if [kind for kind, _ in kinds] == ["last", "unit"]:
+        return as_of - timedelta(kinds[1][1]), as_of - timedelta(1)
     return range_of(name, as_of)
 
 

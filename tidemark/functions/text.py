@@ -58,11 +58,29 @@ def truncate(text: Column, n: int) -> Column:
     return F.when(F.length(text) > n, F.concat(F.substring(text, 1, n), F.lit("..."))).otherwise(text)
 
 
-def truncate_bytes(text: Column, n: int) -> Column:
+def truncate_bytes(text: Column, n: int | Column) -> Column:
     """TX-11: the longest prefix of n UTF-8 bytes or fewer that ends with a whole character."""
     return F.when(F.octet_length(text) <= n, text).otherwise(F.regexp_replace(F.make_valid_utf8(F.substring(F.encode(text, "utf-8"), 1, n).cast("string")), "\\x{FFFD}+$", ""))
 
 
+def truncate_lines(text: Column, n: int | Column) -> Column:
+    """TX-11: whole lines of n UTF-8 bytes or fewer; a first line that is longer is cut by itself."""
+    cut = truncate_bytes(text, n)
+    return F.when(F.octet_length(text) <= n, text).otherwise(F.coalesce(F.nullif(F.regexp_extract(cut, r"(?s)^(.+)\n", 1), F.lit("")), cut))
+
+
+#: What a message's foot begins with, the first that a text has. Fixed values.
+FEET = ("\n\n\n> ", "\n\n> ", "\n\n<font", "\n\n_", "\n\n更新时间")
+
+
+def truncate_before_foot(text: Column, n: int) -> Column:
+    """TX-11: whole lines and the whole foot, n UTF-8 bytes or fewer together; a foot that takes all of it is cut like any line."""
+    foot = F.coalesce(*[F.nullif(F.regexp_extract(text, f"(?s)^.+({mark}.*)$", 1), F.lit("")) for mark in FEET], F.lit(""))
+    size = F.octet_length(foot)
+    body = F.substring(text, F.lit(1), F.length(text) - F.length(foot))
+    return F.when(F.octet_length(text) <= n, text).when((size == 0) | (size >= n), truncate_lines(text, n)).otherwise(F.concat(truncate_lines(body, n - size), foot))
+
+
 def to_mrkdwn(text: Column) -> Column:
     """TX-13: links and bold of Markdown as Slack writes them."""
     return F.regexp_replace(F.regexp_replace(text, r"\[([^\]]+)\]\(([^)]+)\)", "<$2|$1>"), r"\*\*([^*]+)\*\*", "*$1*")

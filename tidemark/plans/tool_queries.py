@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import channels as C
 from tidemark.functions import dates as D
+from tidemark.functions import text as X
 from tidemark.functions import urls as U
 from tidemark.operators import history as H
 from tidemark.operators.splitting import split_column
@@ -111,6 +112,46 @@ def feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("item_id", F.date_format(D.feed_date(text), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
+_DAYS = {"today": 0, "yesterday": 1, "day before yesterday": 2, "3 days ago": 3, "大前天": 3, "10天前": 10, "last monday": 8, "this friday": 4, "上周日": 2, "本周一": 1, "2024-01-05": 25, "1月15日": 15, "1/20": 10, "2024年1月2日": 28}
+_DAYS_SQL = "(VALUES " + ", ".join(f"('{k}', DATE '{S.AS_OF_DATE}' - {n})" for k, n in _DAYS.items()) + ") AS r(words, a)"
+
+
+@query(with_("titles", body=f" SELECT words, strftime(a, '%Y-%m-%d') AS day, source_id, count(*) AS n FROM {_DAYS_SQL} JOIN titles ON date = a GROUP BY 1, 2, 3"))
+def days_in_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DT-1: titles of single days given in words."""
+    days = spark.createDataFrame([(x, D.date_of(x, _AS_OF)) for x in _DAYS], "words string, date date")
+    counts = S.titles(spark, sf_dir).groupBy("date", "source_id").agg(F.count("*").alias("n"))
+    return counts.join(F.broadcast(days), "date").select("words", F.col("date").cast("string").alias("day"), "source_id", "n")
+
+
+_PRESETS = {"today": (0, 0), "yesterday": (1, 1), "last_week": (7, 1), "last_month": (30, 1), "this_week": (1, 0), "this_month": (29, 0)}
+_PRESETS_SQL = "(VALUES " + ", ".join(f"('{k}', DATE '{S.AS_OF_DATE}' - {a}, DATE '{S.AS_OF_DATE}' - {b})" for k, (a, b) in _PRESETS.items()) + ") AS r(preset, a, b)"
+
+
+@query(with_("titles", body=f" SELECT preset, source_id, count(*) AS n, count(DISTINCT title) AS titles FROM {_PRESETS_SQL} JOIN titles ON date BETWEEN a AND b GROUP BY 1, 2"))
+def date_presets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DT-3: periods of the comparison, where last week is the seven days before today."""
+    ranges = spark.createDataFrame([(x, *D.preset(x, _AS_OF)) for x in _PRESETS], "preset string, a date, b date")
+    return S.titles(spark, sf_dir).join(F.broadcast(ranges), F.col("date").between(F.col("a"), F.col("b"))).groupBy("preset", "source_id").agg(F.count("*").alias("n"), F.count_distinct("title").alias("titles"))
+
+
+@query()
+def plain_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TX-12: whole texts without the marks of Markdown, addresses as they are."""
+    t = S.table(spark, sf_dir, "documents").select("doc_id", F.col("text"), C.plain(F.col("text")).alias("plain"))
+    return t.select("doc_id", (F.length("text") - F.length("plain")).alias("n_removed"), F.sha2("plain", 256).alias("sha256"))
+
+
+@query()
+def cut_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TX-11: texts with a foot cut to 1,000 bytes: between characters, after lines, and with the foot kept."""
+    foot = F.lit(f"\n\n> 更新时间：{S.AS_OF}")
+    t = S.table(spark, sf_dir, "documents").select("doc_id", F.concat("text", foot).alias("text"))
+    cuts = {"bytes": X.truncate_bytes(F.col("text"), 1000), "lines": X.truncate_lines(F.col("text"), 1000), "foot": X.truncate_before_foot(F.col("text"), 1000)}
+    rows = t.select("doc_id", F.inline(F.array(*[F.struct(F.lit(k).alias("cut"), c.alias("text")) for k, c in cuts.items()])))
+    return rows.select("doc_id", "cut", F.octet_length("text").alias("bytes"), F.sha2("text", 256).alias("sha256"))
+
+
 _MARKDOWN = "'## ' || title || chr(10) || '> <font color=''red''>quoted</font>' || chr(10) || '> **bold** & ~~old~~' || chr(10) || '---' || chr(10) || chr(10) || chr(10) || chr(10) || '[link](https://a.example/x) `code`'"
 
 
@@ -118,7 +159,7 @@ def _markdown():
     return F.concat(F.lit("## "), "title", F.lit("\n> <font color='red'>quoted</font>\n> **bold** & ~~old~~\n---\n\n\n\n[link](https://a.example/x) `code`"))
 
 
-@query(with_("titles_doc", body=f", m AS (SELECT doc_id, {_MARKDOWN} AS text FROM titles_doc) " + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS channel, {C.rewritten_sql('text', d.steps())} AS text FROM m" for k, d in C.DIALECTS.items()) + f" UNION ALL SELECT doc_id, 'plain', {C.rewritten_sql('text', C.PLAIN)} FROM m"))
+@query(with_("titles_doc", body=f", m AS (SELECT doc_id, {_MARKDOWN} AS text FROM titles_doc) " + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS channel, {C.rewritten_sql('text', C.steps(k))} AS text FROM m" for k in C.DIALECTS) + f" UNION ALL SELECT doc_id, 'plain', {C.rewritten_sql('text', C.steps('plain'))} FROM m"))
 def channel_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX-12, TX-14: a Markdown text as each channel takes it."""
     m = S.titles_doc(spark, sf_dir).select("doc_id", _markdown().alias("text"))
