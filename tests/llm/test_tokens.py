@@ -165,3 +165,32 @@ def test_words_of_documents(small, words):
     texts = [t or "" for _, t in small[1]]
     expected = [library.encode(x, add_special_tokens=False).ids for x in texts]
     assert all(_by_words(e, texts) == expected for e in encoders)
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(ODD, min_size=1, max_size=6))
+def test_many_texts_by_prefixes(texts, plain, encoders):
+    """Also where what is remembered is forgotten at every call."""
+    for e in encoders:
+        for _, _, data, offsets in chunks(pa.array(texts, pa.string())):
+            ids, at = e.encode_all(data, offsets)
+            assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [plain.encode_ordinary(x) for x in texts]
+            raw, ends = e.decode(ids)
+            assert raw.tobytes() == "".join(texts).encode() and [int(ends[x]) for x in at] == offsets.tolist()
+
+
+@pytest.fixture(scope="module")
+def encoders(encoder):
+    small = bpe.Encoder(RANK_FILE, public_tokenizers.PATTERN)
+    small.short.most = small.long.most = 30
+    return [encoder, small]
+
+
+@settings(max_examples=200, deadline=None)
+@given(pieces=st.lists(st.binary(min_size=1, max_size=16), min_size=1, max_size=20))
+def test_columns_are_prefixes(pieces, encoder):
+    """The last token of every prefix, many pieces at once and one by one."""
+    rows = np.frombuffer(b"".join(x.ljust(16, b"\0") for x in pieces), np.uint8).reshape(-1, 16)
+    last = encoder.columns.last(rows, np.array([len(x) for x in pieces]))
+    for i, x in enumerate(pieces):
+        assert last[i, : len(x) + 1].tolist() == bpe.Prefixes(encoder.ranks, x).last

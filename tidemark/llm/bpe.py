@@ -22,9 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import keyed, prepare, unkeyed
+from tidemark.llm.word_bpe import KIND, CHUNK, LONGEST, Bounds, Remembered, distinct, in_place
+from tidemark.llm.words import chunks
 
 #: What a Python worker remembers: pieces between spaces (twice so many), pre-tokens, pairs of tokens. Each is bounded.
 CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 150_000, 250_000, 300_000
+#: Pre-tokens of at most LONGEST bytes, and other words, with their ids.
+SHORT_KEPT, LONG_KEPT = 400_000, 50_000
+#: Slots for pairs of tokens, as a power of two; short pieces that are encoded together.
+PAIR_BITS, TOGETHER = 20, 10_000
 
 
 class Ranks:
@@ -111,6 +117,86 @@ class Prefixes:
         return out[::-1]
 
 
+class Columns:
+    """The last tokens of all prefixes of many short pieces, as `Prefixes` finds them for one: a row for each piece, a column for each length."""
+
+    def __init__(self, ranks: Ranks):
+        self.ranks = ranks
+        children: dict[tuple[int, int], int] = {}
+        token_at = [-1] * 256
+        for token, rank in ranks.rank.items():
+            node = token[0]
+            for b in token[1:]:
+                node = children.setdefault((node, b), len(children) + 256)
+            token_at += [-1] * (node + 1 - len(token_at))
+            token_at[node] = rank
+        token_at += [-1] * (256 + len(children) - len(token_at))
+        #: The tree of tokens: the key of an edge is its upper node and its byte.
+        key = np.array([node << 8 | b for node, b in children], np.int64)
+        order = np.argsort(key)
+        self.key, self.child = key[order], np.fromiter(children.values(), np.int64, len(children))[order]
+        self.token_at = np.array(token_at, np.int32)
+        self.lengths = np.array([len(x) for x in ranks.bytes_of], np.int64)
+        #: Pairs met of late and whether they stay, each in the one slot that its hash gives it.
+        self.pair, self.stay = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
+
+    def stays(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left.astype(np.int64) << 32 | right
+        slot = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        out = self.stay[slot]
+        miss = np.flatnonzero(self.pair[slot] != pair)
+        if len(miss):
+            new, one, which = np.unique(pair[miss], return_index=True, return_inverse=True)
+            known, ask = self.ranks.known, self.ranks.stays
+            ok = np.array([ask(x >> 32, x & 0xFFFFFFFF) if (k := known.get(x)) is None else k for x in new.tolist()], bool)
+            self.pair[slot[miss][one]], self.stay[slot[miss][one]] = new, ok
+            out[miss] = ok[which]
+        return out
+
+    def last(self, raw: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """raw: a row of bytes for each piece, `length` of them its own. At [i, e] the last token of the first e bytes of piece i."""
+        n, width = raw.shape
+        row, start = np.nonzero(np.arange(width) < length[:, None])
+        node = raw[row, start].astype(np.int64)
+        found = [(row, start, np.ones(len(row), np.int64), self.token_at[node])]
+        for size in range(2, width + 1):  # every token from every place, by one more byte at a time
+            on = start + size <= length[row]
+            row, start, node = row[on], start[on], node[on]
+            key = node << 8 | raw[row, start + size - 1]
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            on = self.key[at] == key
+            row, start, node = row[on], start[on], self.child[at[on]]
+            token = self.token_at[node]
+            on = token >= 0
+            found.append((row[on], start[on], np.full(int(on.sum()), size), token[on]))
+        row, start, size, token = (np.concatenate(x) for x in zip(*found, strict=True))
+        end = start + size
+        order = np.argsort(end, kind="stable")
+        bounds = np.searchsorted(end[order], np.arange(1, width + 2))
+        out = np.full((n, width + 1), -1, np.int32)
+        for e in range(1, width + 1):
+            mine = order[bounds[e - 1] : bounds[e]]
+            r, s, t = row[mine], start[mine], token[mine]
+            ok = s == 0
+            ok[~ok] = self.stays(out[r[~ok], s[~ok]], t[~ok])
+            out[r[ok], e] = t[ok]
+        return out
+
+    def of(self, raw: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after another, and how many each has."""
+        last = self.last(raw, length)
+        n, width = raw.shape
+        back, at, count = np.full((n, width), -1, np.int32), length.copy(), np.zeros(n, np.int64)
+        open_ = np.flatnonzero(at > 0)
+        while len(open_):
+            token = last[open_, at[open_]]
+            count[open_] += 1
+            back[open_, width - count[open_]] = token
+            at[open_] -= self.lengths[token]
+            open_ = open_[at[open_] > 0]
+        return back[back >= 0], count
+
+
 class Encoder:
     """Encodes texts: pre-tokens by the pattern, each by its prefixes."""
 
@@ -122,6 +208,8 @@ class Encoder:
         #: Those met of late, and those before them; what is met again moves to the first.
         self.chunks: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
+        self.columns = Columns(self.ranks)
+        self.short, self.long = Remembered(SHORT_KEPT), Remembered(LONG_KEPT)
         lengths = np.array([len(x) for x in self.ranks.bytes_of], np.int64)
         self.starts, self.lengths, self.table = np.cumsum(lengths) - lengths, lengths, np.frombuffer(b"".join(self.ranks.bytes_of), np.uint8)
 
@@ -168,6 +256,91 @@ class Encoder:
             return np.array(self.plain(text), "<i4").tobytes()
         return b"".join(got)
 
+    def encode_all(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Many texts at once: UTF-8, one after another, and where each begins, and the end. The ids, and where each text's begin, and the end.
+
+        Words of ASCII without apostrophes and of the letters U+00C0 to U+00FF, and white space between, are cut into pre-tokens as arrays; other words,
+        with the space before them, are cut by the pattern. Each distinct one is encoded by its prefixes once while it is remembered. A text in
+        which other white space touches that of ASCII is cut by the pattern as a whole.
+        """
+        for store in (self.short, self.long):
+            if store.full():
+                store.forget()
+        w, n = Bounds(data, offsets), len(data)
+        raw = data.tobytes()
+        text_end = np.zeros(n + 1, bool)
+        text_end[offsets[1:]] = True
+        # white space: all but its last byte, and that one by itself unless it is a space that goes with the word behind it
+        space = np.flatnonzero(w.space)
+        first = space[~np.append(False, w.space)[space] | text_end[space]]
+        last = space[~np.append(w.space, False)[space + 1] | text_end[space + 1]]
+        at_end = text_end[last + 1]
+        joins = ~at_end & (data[last] == 0x20)
+        run = np.flatnonzero((last > first) | at_end)
+        own = np.flatnonzero(~at_end & ~joins)
+        starts = [first[run], last[own]]
+        ends = [np.where(at_end[run], last[run] + 1, last[run]), last[own] + 1]
+        before = np.zeros(n + 1, bool)  # whether a space goes with the word that begins here
+        before[last[joins] + 1] = True
+        slow = w.odd_words()
+        whole = self._touching(raw, w, np.flatnonzero(slow), offsets)
+        kind = KIND[data]
+        cut = w.begins.copy()
+        cut[1:] |= kind[1:] != kind[:-1]
+        cut &= ~w.space
+        piece = np.flatnonzero(cut)
+        of = w.word_of(piece)
+        end = np.minimum(np.append(piece[1:], n), w.end[of])
+        fast = ~slow[of]
+        starts.append(piece[fast] - (before[piece[fast]] & w.begins[piece[fast]]))
+        ends.append(end[fast])
+        which = np.flatnonzero(slow)
+        start, stop = np.concatenate(starts), np.concatenate(ends)
+        long_ = stop - start > LONGEST
+        slow_start, slow_stop = np.concatenate([w.start[which] - before[w.start[which]], start[long_]]), np.concatenate([w.end[which], stop[long_]])
+        start, stop = start[~long_], stop[~long_]
+        if len(whole):
+            keep = lambda x: ~np.isin(np.searchsorted(offsets, x, "right") - 1, whole)
+            a, b = keep(start), keep(slow_start)
+            start, stop, slow_start, slow_stop = start[a], stop[a], np.append(slow_start[b], offsets[whole]), np.append(slow_stop[b], offsets[whole + 1])
+        units = [raw[a:b] for a, b in zip(slow_start.tolist(), slow_stop.tolist(), strict=True)]
+        parts = [(self.long, slow_start, self._of_units(units))]
+        if len(start):
+            padded = np.concatenate([data, np.zeros(LONGEST, np.uint8)])
+            keys, which = distinct(padded, start, stop - start)
+            parts.append((self.short, start, self._of_pieces(keys)[which]))
+        order = [np.argsort(x[1], kind="stable") for x in parts]
+        return in_place([(store, place[o], entry[o]) for (store, place, entry), o in zip(parts, order, strict=True)], offsets)
+
+    def _of_units(self, keys: list[bytes]) -> np.ndarray:
+        fresh = self.long.new(keys)
+        got = [self.plain(x.decode()) for x in fresh]
+        count = np.fromiter(map(len, got), np.int32, len(got))
+        self.long.add(fresh, np.fromiter((i for x in got for i in x), np.int32, int(count.sum())), count)
+        return self.long.entries_of(keys)
+
+    def _of_pieces(self, keys: list[bytes]) -> np.ndarray:
+        fresh = self.short.new(keys)
+        size = np.fromiter(map(len, fresh), np.int64, len(fresh))
+        for low, width in ((0, 4), (4, 8), (8, LONGEST)):
+            mine = np.flatnonzero((size > low) & (size <= width))
+            for k in range(0, len(mine), TOGETHER):
+                part = mine[k : k + TOGETHER]
+                own = [fresh[i] for i in part.tolist()]
+                rows = np.frombuffer(b"".join([x.ljust(width, b"\0") for x in own]), np.uint8).reshape(-1, width)
+                self.short.add(own, *self.columns.of(rows, size[part]))
+        return self.short.entries_of(keys)
+
+    @staticmethod
+    def _touching(raw: bytes, w: Bounds, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Texts with a word that begins or ends with white space of another kind."""
+        out = set()
+        for a, b in zip(w.start[words].tolist(), w.end[words].tolist(), strict=True):
+            x = raw[a:b].decode()
+            if x[0].isspace() or x[-1].isspace():
+                out.add(int(np.searchsorted(offsets, a, "right")) - 1)
+        return np.array(sorted(out), np.int64)
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all ids, one after another, and where each id's begin, and the end."""
         sizes = self.lengths[ids]
@@ -184,16 +357,13 @@ def encoder(rank_file: str, pattern: str) -> Encoder:
 def _run(batches: Iterable[pa.RecordBatch], rank_file: str, pattern: str) -> Iterator[pa.RecordBatch]:
     own = encoder(rank_file, pattern)
     for batch in batches:
-        for k in range(0, len(batch), 500):
-            part = batch.slice(k, 500)
-            ids = [own.encode(x) for x in part.column(1).to_pylist()]
-            sizes = np.cumsum([0, *(len(x) // 4 for x in ids)])
-            flat = np.frombuffer(b"".join(ids), "<i4")
+        for a, b, data, offsets in chunks(batch.column(1), CHUNK):
+            flat, bounds = own.encode_all(data, offsets)
             raw, ends = own.decode(flat)
-            where = pa.py_buffer(ends[sizes].astype(np.int32))
-            decoded = pa.Array.from_buffers(pa.binary(), len(part), [None, where, pa.py_buffer(raw)])
-            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists, decoded], ["_id", "ids", "decoded"])
+            where = pa.py_buffer(ends[bounds].astype(np.int32))
+            decoded = pa.Array.from_buffers(pa.binary(), b - a, [None, where, pa.py_buffer(raw)])
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], lists, decoded], ["_id", "ids", "decoded"])
 
 
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

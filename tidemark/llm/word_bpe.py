@@ -27,9 +27,9 @@ CHUNK = 1 << 20
 TOGETHER = 20_000
 
 _LETTER, _DIGIT, _OTHER = 1, 2, 3
-_KIND = np.full(256, _OTHER, np.uint8)
-_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = _LETTER
-_KIND[0x30:0x3A] = _DIGIT
+KIND = np.full(256, _OTHER, np.uint8)
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = _LETTER
+KIND[0x30:0x3A] = _DIGIT
 #: Bytes that send a word to the library: controls, the apostrophe, and all of other scripts but what C3 leads.
 _ODD = np.zeros(256, bool)
 _ODD[:0x20] = _ODD[0x27] = _ODD[0x7F] = True
@@ -54,6 +54,93 @@ def _eight(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
 
 
+class Remembered:
+    """Ids of pieces of bytes, found by the bytes; a piece's entry is its number."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
+        self.first, self.count, self.entries = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), 0
+
+    def full(self) -> bool:
+        return self.entries > self.most
+
+    def add(self, keys: list[bytes], ids: np.ndarray, count: np.ndarray) -> None:
+        """Remembers new pieces, given all their ids, one after another, and how many each has."""
+        while self.n_ids + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.entries + len(count) > len(self.first):
+            self.first, self.count = np.concatenate([self.first, np.zeros_like(self.first)]), np.concatenate([self.count, np.zeros_like(self.count)])
+        at, to = self.entries, self.entries + len(count)
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.first[at:to] = self.n_ids + np.cumsum(count) - count
+        self.count[at:to] = count
+        self.n_ids, self.entries = self.n_ids + len(ids), to
+        self.known.update(zip(keys, range(at, to), strict=True))
+
+    def new(self, keys: list[bytes]) -> list[bytes]:
+        return list({*keys}.difference(self.known))
+
+    def entries_of(self, keys: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+
+    def gathered(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries, one after another, and where each entry's begin, and the end."""
+        count = self.count[entry].astype(np.int64)
+        to = np.cumsum(count)
+        ids = self.ids[np.repeat(self.first[entry] - (to - count), count) + np.arange(to[-1] if len(to) else 0)]
+        return ids, np.append(0, to)
+
+
+def distinct(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct pieces data[start:start + length], of at most LONGEST bytes and none zero, and which one each is; data has LONGEST bytes more.
+
+    Some may be given twice, if hashes of different ones agree.
+    """
+    eight = _eight(data)
+    low = eight[start] & _MASK[np.minimum(length, 8)]
+    high = eight[start + 8] & _MASK[np.clip(length - 8, 0, 8)]
+    _, one, which = np.unique(low ^ high * np.uint64(0x9E3779B97F4A7C15), return_index=True, return_inverse=True)
+    differ = np.flatnonzero((low != low[one][which]) | (high != high[one][which]))
+    if len(differ):  # equal mixes of other bytes: each of these stands for itself
+        which[differ] = len(one) + np.arange(len(differ))
+        one = np.concatenate([one, differ])
+    raw = data.tobytes()
+    return [raw[a:b] for a, b in zip(start[one].tolist(), (start + length)[one].tolist(), strict=True)], which
+
+
+class Bounds:
+    """Where the words of some texts (split at ASCII white space) begin and end, and which have bytes that the short way leaves to a library."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        n = len(data)
+        self.space = SPACE[data]
+        #: Where texts begin that aren't empty.
+        self.head = offsets[:-1][offsets[:-1] < offsets[1:]]
+        begins, ends = ~self.space, ~self.space
+        begins[1:] &= self.space[:-1]
+        begins[self.head] = ~self.space[self.head]
+        ends[:-1] &= self.space[1:]
+        ends[self.head[1:] - 1] = ~self.space[self.head[1:] - 1]
+        self.begins, self.start, self.end = begins, np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        lead, rest = data == 0xC3, (data & 0xC0) == 0x80
+        self.after = np.zeros(n, bool)
+        self.after[1:] = lead[:-1]
+        self.odd = _ODD[data] | rest & ~self.after | self.after & ((data == 0x97) | (data == 0xB7))
+
+    def word_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.start, at, "right") - 1
+
+    def odd_words(self) -> np.ndarray:
+        out = np.zeros(len(self.start), bool)
+        out[self.word_of(np.flatnonzero(self.odd))] = True
+        return out
+
+
 class Merges:
     """The merges of a vocabulary, by pairs of ids."""
 
@@ -129,130 +216,86 @@ class WordEncoder:
         self.short = chain == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) and split[0]["invert"] and split[0]["behavior"] == "Removed" and split[0]["pattern"] == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
         self.short = self.short and model.get("type") == "BPE" and bool(model.get("end_of_word_suffix")) and not any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "ignore_merges"))
         self.merges = Merges(model) if self.short else None
-        self.remembered = remembered
-        self._forget()
+        self.pieces, self.words = Remembered(remembered), Remembered(remembered)
 
-    def _forget(self) -> None:
-        self.pieces: dict[bytes, int] = {}
-        self.words: dict[bytes, int] = {}
-        self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
-        self.first, self.count, self.entries = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), 0
-
-    def _add(self, ids: np.ndarray, count: np.ndarray) -> int:
-        """Remembers new entries; the number of the first."""
-        while self.n_ids + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.entries + len(count) > len(self.first):
-            self.first, self.count = np.concatenate([self.first, np.zeros_like(self.first)]), np.concatenate([self.count, np.zeros_like(self.count)])
-        at, to = self.entries, self.entries + len(count)
-        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-        self.first[at:to] = self.n_ids + np.cumsum(count) - count
-        self.count[at:to] = count
-        self.n_ids, self.entries = self.n_ids + len(ids), to
-        return at
-
-    def _of_pieces(self, lower: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """The entry of each pre-token lower[start:start + length], at most LONGEST bytes, none of them zero."""
-        eight = _eight(lower)
-        low = eight[start] & _MASK[np.minimum(length, 8)]
-        high = eight[start + 8] & _MASK[np.clip(length - 8, 0, 8)]
-        _, one, which = np.unique(low ^ high * np.uint64(0x9E3779B97F4A7C15), return_index=True, return_inverse=True)
-        differ = np.flatnonzero((low != low[one][which]) | (high != high[one][which]))
-        if len(differ):  # equal mixes of other bytes: each of these stands for itself
-            which[differ] = len(one) + np.arange(len(differ))
-            one = np.concatenate([one, differ])
-        raw = lower.tobytes()
-        keys = [raw[a:b] for a, b in zip(start[one].tolist(), (start + length)[one].tolist(), strict=True)]
-        found = np.array([*map(self.pieces.get, keys, [-1] * len(keys))], np.int64)
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            fresh = list(dict.fromkeys(keys[i] for i in new.tolist()))
-            size = np.fromiter(map(len, fresh), np.int64, len(fresh))
-            for width in (4, 8, LONGEST):
-                mine = np.flatnonzero((size <= width) & (size > (0 if width == 4 else width // 2)))
-                for k in range(0, len(mine), TOGETHER):
-                    part = mine[k : k + TOGETHER].tolist()
-                    rows = np.frombuffer(b"".join([fresh[i].ljust(width, b"\0") for i in part]), np.uint8).reshape(-1, width)
-                    at = self._add(*self.merges.of(rows, size[part]))
-                    self.pieces.update(zip([fresh[i] for i in part], range(at, at + len(part)), strict=True))
-            found[new] = [self.pieces[keys[i]] for i in new.tolist()]
-        return found[which]
+    def _of_pieces(self, lower: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each pre-token lower[start:start + length], as `gathered` gives them."""
+        keys, which = distinct(lower, start, length)
+        fresh = self.pieces.new(keys)
+        size = np.fromiter(map(len, fresh), np.int64, len(fresh))
+        for low, width in ((0, 4), (4, 8), (8, LONGEST)):
+            mine = np.flatnonzero((size > low) & (size <= width))
+            for k in range(0, len(mine), TOGETHER):
+                part = mine[k : k + TOGETHER]
+                own = [fresh[i] for i in part.tolist()]
+                rows = np.frombuffer(b"".join([x.ljust(width, b"\0") for x in own]), np.uint8).reshape(-1, width)
+                self.pieces.add(own, *self.merges.of(rows, size[part]))
+        return self.pieces.entries_of(keys)[which]
 
     def _of_words(self, keys: list[bytes]) -> np.ndarray:
         """The entry of each word, by the library's whole chain."""
-        known = self.words
-        fresh = list({*keys}.difference(known))
+        fresh = self.words.new(keys)
         for k in range(0, len(fresh), TOGETHER):
             part = fresh[k : k + TOGETHER]
             got = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
-            at = self._add(np.fromiter((i for x in got for i in x), np.int32), np.fromiter(map(len, got), np.int32, len(got)))
-            known.update(zip(part, range(at, at + len(part)), strict=True))
-        return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+            self.words.add(part, np.fromiter((i for x in got for i in x), np.int32), np.fromiter(map(len, got), np.int32, len(got)))
+        return self.words.entries_of(keys)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """data: UTF-8 of the texts, one after another; offsets: where each begins, and the end. The ids, and where each text's begin, and the end."""
-        if self.entries > self.remembered:
-            self._forget()
-        n = len(data)
-        space = SPACE[data]
-        begins = ~space
-        begins[1:] &= space[:-1]
-        head = offsets[:-1][offsets[:-1] < offsets[1:]]  # of texts that aren't empty
-        begins[head] = ~space[head]
-        word = np.flatnonzero(begins)
-        ends = ~space
-        ends[:-1] &= space[1:]
-        ends[head[1:] - 1] = ~space[head[1:] - 1]
-        word_end = np.flatnonzero(ends) + 1
-        if not len(word):
+        for store in (self.pieces, self.words):
+            if store.full():
+                store.forget()
+        w, n = Bounds(data, offsets), len(data)
+        if not len(w.start):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-        slow = np.ones(len(word), bool)
+        slow = np.ones(len(w.start), bool)
         start = length = np.zeros(0, np.int64)
+        raw = data.tobytes()
         if self.short:
-            lead, rest = data == 0xC3, (data & 0xC0) == 0x80
-            after = np.zeros(n, bool)
-            after[1:] = lead[:-1]
-            odd = _ODD[data] | rest & ~after | after & ((data == 0x97) | (data == 0xB7))
-            if any(x in raw for raw in (data.tobytes(),) for x in self.special):
-                raw = data.tobytes()
-                for x in self.special:
-                    at = raw.find(x)
-                    while at >= 0:
-                        odd[at] = True
-                        at = raw.find(x, at + 1)
-            slow[:] = False
-            slow[np.searchsorted(word, np.flatnonzero(odd), "right") - 1] = True
+            for x in self.special:
+                at = raw.find(x)
+                while at >= 0:
+                    w.odd[at] = True
+                    at = raw.find(x, at + 1)
+            slow = w.odd_words()
             lower = np.zeros(n + 16, np.uint8)
             lower[:n] = _LOWER[data]
-            lower[:n][after & (data < 0x9F)] += 0x20
-            kind = _KIND[data]
-            cut = begins.copy()
+            lower[:n][w.after & (data < 0x9F)] += 0x20
+            kind = KIND[data]
+            cut = w.begins.copy()
             cut[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
-            cut &= ~space
+            cut &= ~w.space
             start = np.flatnonzero(cut)
-            of = np.searchsorted(word, start, "right") - 1
-            length = np.append(start[1:], n)
-            length = np.minimum(length, word_end[of]) - start
+            of = w.word_of(start)
+            length = np.minimum(np.append(start[1:], n), w.end[of]) - start
             slow[of[length > LONGEST]] = True
             fast = ~slow[of]
             start, length = start[fast], length[fast]
         which = np.flatnonzero(slow)
-        raw = data.tobytes() if len(which) else b""
-        entry_slow = self._of_words([raw[a:b] for a, b in zip(word[which].tolist(), word_end[which].tolist(), strict=True)])
-        entry, place = entry_slow, word[which]
+        parts = [(self.words, w.start[which], self._of_words([raw[a:b] for a, b in zip(w.start[which].tolist(), w.end[which].tolist(), strict=True)]))]
         if len(start):
-            entry = self._of_pieces(lower, start, length)
-            if len(which):
-                place = np.concatenate([start, word[which]])
-                order = np.argsort(place, kind="stable")
-                entry, place = np.concatenate([entry, entry_slow])[order], place[order]
-            else:
-                place = start
-        count = self.count[entry].astype(np.int64)
-        to = np.cumsum(count)
-        ids = self.ids[np.repeat(self.first[entry] - (to - count), count) + np.arange(to[-1] if len(to) else 0)]
-        bounds = np.append(0, to)[np.searchsorted(place, offsets)]
-        return ids, bounds
+            parts.append((self.pieces, start, self._of_pieces(lower, start, length)))
+        return in_place(parts, offsets)
+
+
+def in_place(parts: list[tuple[Remembered, np.ndarray, np.ndarray]], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of several stores, each with the places of its entries: their ids in the order of places, and where each text's begin, and the end."""
+    parts = [x for x in parts if len(x[1])]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+    got = [store.gathered(entry) for store, _, entry in parts]
+    if len(parts) == 1:
+        ids, to = got[0]
+        return ids, to[np.searchsorted(parts[0][1], offsets)]
+    place = np.concatenate([x[1] for x in parts])
+    order = np.argsort(place, kind="stable")
+    count = np.concatenate([np.diff(to) for _, to in got])[order]
+    base = np.cumsum([0, *(len(ids) for ids, _ in got)])
+    first = np.concatenate([to[:-1] + b for (_, to), b in zip(got, base, strict=False)])[order]
+    to = np.cumsum(count)
+    ids = np.concatenate([ids for ids, _ in got])[np.repeat(first - (to - count), count) + np.arange(to[-1])]
+    return ids, np.append(0, to)[np.searchsorted(place[order], offsets)]
 
 
 @lru_cache(maxsize=2)
