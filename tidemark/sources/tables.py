@@ -56,7 +56,7 @@ def _rank():
 
 
 def first_line(text):
-    return F.substring(F.trim(F.split_part(text, F.lit("\n"), F.lit(1))), 1, 80)
+    return F.substring(F.trim(F.substring_index(text, "\n", 1)), 1, 80)
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,24 @@ def finished(stream: DataFrame, mode: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def late_counts(parts: list[DataFrame], late: str = "2 days") -> DataFrame:
+    """SM-8: tumbling days that the watermark has closed, of parts of the events that come one after another.
+
+    Each part is a run of its own, from the checkpoint of the one before. Windows are written once, when they are closed; a row that comes
+    after that is left out."""
+    spark = parts[0].sparkSession
+    checkpointed(spark.range(0))
+    base = f"{spark.sparkContext.getCheckpointDir()}/late-{uuid.uuid4().hex}"
+    for part in parts:
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(parts[0].schema).parquet(f"{base}/in").withWatermark("ts", late)
+        n = stream.groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"))
+        out = n.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+        q = out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
 def daily_counts(stream: DataFrame) -> DataFrame:
     """SM-5: tumbling days."""
     n = stream.groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
