@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import backoff as backoff_of
+from tidemark.operators import transitions as T
 from tidemark.plans.catalog import query
 from tidemark.sources import tables as S
 from tidemark.sources.tables import with_
@@ -118,6 +119,23 @@ def canonical_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.articles(spark, sf_dir).where("document_id <> ''").select("article_key", (F.row_number().over(w) == 1).alias("owner"))
 
 
+#: What an event of the test data asks for, by its type and its number k.
+_ASKS = "CASE event_type WHEN 'view' THEN CASE WHEN k < 50 THEN 'ask' ELSE 'fetch' END WHEN 'click' THEN CASE WHEN k < 50 THEN 'fetch' ELSE 'create' END WHEN 'signup' THEN CASE WHEN k < 30 THEN 'advance' WHEN k < 60 THEN 'create' ELSE 'share' END WHEN 'purchase' THEN CASE WHEN k < 60 THEN 'share' ELSE 'notify' END ELSE CASE WHEN k < 85 THEN 'retry' WHEN k < 92 THEN 'lose' ELSE 'stop' END END"
+_ALLOWED = "(VALUES " + ", ".join(f"('{n}', '{s}', '{c.to or s}', {c.fails}, {c.clears})" for n, c in T.COMMANDS.items() for s in c.allowed) + ") AS g(command, here, next, fails, clears)"
+
+
+@query(f"""WITH RECURSIVE log AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no, {_ASKS} AS command FROM (SELECT *, CAST(json_extract(props, '$.k') AS INT) % 100 AS k FROM events)),
+r AS (SELECT user_id, 0::BIGINT AS no, 'discovered' AS state, 0::BIGINT AS retries, 0::BIGINT AS failures, 0::BIGINT AS done, 0::BIGINT AS refused FROM log WHERE no = 1
+UNION ALL SELECT l.user_id, l.no, coalesce(g.next, r.state), r.retries + CASE WHEN g.fails THEN 1 ELSE 0 END, CASE WHEN g.clears THEN 0 ELSE r.failures + CASE WHEN g.fails THEN 1 ELSE 0 END END, r.done + CASE WHEN g.here IS NULL THEN 0 ELSE 1 END, r.refused + CASE WHEN g.here IS NULL THEN 1 ELSE 0 END
+FROM r JOIN log l ON l.user_id = r.user_id AND l.no = r.no + 1 LEFT JOIN {_ALLOWED} ON g.command = l.command AND g.here = r.state)
+SELECT user_id AS article_key, state, retries, failures, done, refused FROM (SELECT *, max(no) OVER (PARTITION BY user_id) AS last FROM r) WHERE no = last""")
+def guarded_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OX-1, OX-5: an article's state after all commands of its log; those that come in the wrong state are refused, and terminal states stay."""
+    e = S.table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int") % 100)
+    command = F.array_position(F.array(*map(F.lit, T.NAMES)), F.expr(_ASKS)).cast("int") - 1
+    return T.states(e.select(F.col("user_id").alias("article_key"), "ts", "event_id", command.alias("command")), "article_key", ["ts", "event_id"], "command")
+
+
 @query(with_("articles", body=" SELECT publisher, CAST(make_timestamp((discovered_at // 2592000) * 2592000 * 1000000) AS DATE)::VARCHAR AS month, count(*) AS n FROM articles WHERE article_key NOT IN (SELECT article_key FROM articles WHERE status = 'notified' AND failures < 3) GROUP BY 1, 2"))
 def discovered_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OX-2: articles that the baseline lacks, by 30 days."""
