@@ -185,3 +185,73 @@ def test_kept_lines_are_lines_of_the_text(small):
     texts = dict(rows)
     for r in line_dedup.without_lines(docs).where("n_removed > 0").collect():
         assert not [x for x in (r.text.split("\n") if r.text else ()) if x not in texts[r.doc_id].split("\n")]
+
+
+def _left(spark, lines):
+    left = line_dedup.without_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("text <> ''").select("doc_id").collect()
+    return {lines[r.doc_id] for r in left}
+
+
+_SCRIPTS = {"latin": "abcdefghijklmnopqrstuvwxyz    ", "capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ   ", "digits": "0123456789", "cyrillic": "абвгдежзиклмнопрстуфх   ", "chinese": "".join(map(chr, range(0x4E00, 0x5200))), "mixed": "aB3 фЖ世界é😀.-"}
+
+
+def test_one_character_changed_in_any_script(spark):
+    rng = random.Random(7)
+    pairs, of = [], []
+    for script, letters in _SCRIPTS.items():
+        for n in (66, 140, 900):
+            for _ in range(40):
+                x = "x" + "".join(rng.choice(letters) for _ in range(n - 2)) + "x"
+                pairs.append((x, x[: n // 2] + "#" + x[n // 2 + 1 :]))
+                of.append((script, n))
+    assert 0.84 < min(brute.similarity(a, b) for a, b in pairs)
+    left = _left(spark, [a for a, _ in pairs] + [b for _, b in pairs])
+    for kind in set(of):
+        gone = [b not in left for (_, b), k in zip(pairs, of, strict=True) if k == kind]
+        assert sum(gone) >= 0.9 * len(gone), kind
+
+
+def test_band_of_hundreds_of_unlike_lines(spark):
+    """All lines share their first half; 400 of them have a near copy, and the threshold is close."""
+    rng = random.Random(4)
+    letters = "bcdfghklmnprstvw aeiou"
+    head = "".join(rng.choice(letters) for _ in range(90)) + "|"
+    firsts = [head + "".join(rng.choice(letters) for _ in range(80)) + "x" for _ in range(400)]
+    pairs = [(x, x[:130] + "##" + x[132:]) for x in firsts]
+    assert 0.88 < min(brute.similarity(a, b) for a, b in pairs)
+    left = _left(spark, [a for a, _ in pairs] + [b for _, b in pairs])
+    assert sum(b not in left for _, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_line_digest_against_brute_force(spark, same):
+    """Near copies of a similarity of 0.93 or more, equal lines and unlike ones: all columns of the query."""
+    rng = random.Random(8)
+    of = lambda n: "".join(rng.choice("abcdefghijklmnop qrstuvw ДЖЯ") for _ in range(n))
+    base = ["x" + of(rng.randrange(150, 400)) + "x" for _ in range(60)]
+    edited = lambda x: x[:70] + "#" + x[71:]
+    rows = []
+    for i in range(90):
+        lines = []
+        for _ in range(rng.randrange(6)):
+            x = rng.choice(base)
+            lines.append(rng.choice([x, "  " + x + "\t", edited(x), "", " \t", "short", of(40)]))
+        rows.append((rng.choice([i, i, None]), "\n".join(lines)))  # rows without an id come after all others
+    class_of = lambda x: edited(x) if len(x) >= 150 else x
+    first, gone = {}, {}
+    for d, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        for i, line in enumerate(text.split("\n")):
+            x = line.strip(" \t")
+            if x and first.setdefault(class_of(x), (d, i)) != (d, i):
+                gone.setdefault(d, set()).add(i)
+    split = [(d, t.split("\n")) for d, t in rows if d is not None]
+    out = [(d, len(x), len(gone.get(d, ())), brute.hexed("\n".join(y for i, y in enumerate(x) if i not in gone.get(d, ())))) for d, x in split]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id is not null")
+    same(got, ["doc_id", "n_lines", "n_removed", "kept_sha256"], out)
+
+
+def test_factors_of_repeated_rows(spark):
+    """A document that copies another has one factor, also where its row is there twice."""
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words), (2, words), (2, words), (3, "own " + words)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_removed, r.n_factors) for r in substring_dedup.without_repeats(docs).collect())
+    assert got == [(1, 0, 0), (2, 60, 1), (2, 60, 1), (3, 60, 1)]

@@ -116,3 +116,17 @@ def test_empty(none, spark):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert secrets.secrets(none).count() == decontaminate.contamination(none, bench).count() == quality.quality(none, labels).count() == pii.personal_data(none).count() == 0
+
+
+def test_items_with_names(spark):
+    """Ids that are no numbers are sorted as strings, as numbers are."""
+    import hashlib
+
+    passage = lambda k: " ".join(f"p{k}x{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, passage(1) + " and " + passage(2)), (2, "nothing of it"), (3, None)], "doc_id long, text string")
+    for names in (["b-2", "a-10"], [9, 10]):
+        bench = spark.createDataFrame([(names[0], passage(1)), (names[1], passage(2)), (None, passage(3))], f"item_id {'string' if isinstance(names[0], str) else 'long'}, text string")
+        got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+        assert got[1].n_items == 2 and got[1].n_hit == 24 and got[1].items_sha256 == hashlib.sha256(",".join(sorted(map(str, names))).encode()).hexdigest()
+        assert not got[2].contaminated and got[3].n_words == 0
+        assert decontaminate.drop_contaminated(docs, bench).count() == 2

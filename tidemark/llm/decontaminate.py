@@ -30,8 +30,8 @@ from tidemark.llm.words import LOWER, NOT_ALNUM, Words, buffers, chunks, words_o
 PART_CHARS = 4_000_000
 #: Words that one place of the search goes through.
 STRETCH = 256
-_TABLE_BITS = 16
-_OUT = {"n_words": "long", "spans": "array<struct<start:int,end:int>>", "items": "array<long>"}
+_LEAST_BITS = 16
+_OUT = {"n_words": "long", "spans": "array<struct<start:int,end:int>>", "items": "array<{kind}>"}
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -39,8 +39,8 @@ def _block(last: np.ndarray, before: np.ndarray) -> np.ndarray:
     return last * np.uint64(0x9E3779B97F4A7C15) ^ (before >> np.uint64(7)) * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _slot(block: np.ndarray) -> np.ndarray:
-    return (block >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+def _slot(block: np.ndarray, bits: int) -> np.ndarray:
+    return (block >> np.uint64(64 - bits)).astype(np.int64)
 
 
 class Table:
@@ -53,9 +53,11 @@ class Table:
         self.hashes, self.ends = hashes[order], ends[order]
         self.texts, self.items = [texts[i] for i in order], [items[i] for i in order]
         wide = min(m, 2)
-        self.shift = np.full(1 << _TABLE_BITS, m - wide + 1, np.int64)
+        #: Eight slots for each block of the patterns, so that most blocks of a text have none of them in their slot.
+        self.bits = max(_LEAST_BITS, (8 * (m - wide + 1) * len(hashes)).bit_length())
+        self.shift = np.full(1 << self.bits, m - wide + 1, np.int8 if m < 128 else np.int64)
         for last in range(wide - 1, m):
-            np.minimum.at(self.shift, _slot(self._blocks(hashes, last)), m - 1 - last)
+            np.minimum.at(self.shift, _slot(self._blocks(hashes, last), self.bits), m - 1 - last)
 
     @staticmethod
     def _blocks(hashes: np.ndarray, last: int) -> np.ndarray:
@@ -73,7 +75,7 @@ class Table:
         found = []
         while len(at):
             block = _block(hashes[at], hashes[at - 1] if m > 1 else np.zeros(len(at), np.uint64))
-            shift = self.shift[_slot(block)]
+            shift = self.shift[_slot(block, self.bits)].astype(np.int64)
             here = shift == 0
             found.append((at[here], block[here]))
             at = at + np.maximum(shift, 1)
@@ -129,7 +131,7 @@ def _search(words: Words, of: list[Table]) -> tuple[np.ndarray, list[set[int]]]:
     return np.cumsum(edges[:-1]) > 0, items
 
 
-def _pass(sent, first_pass: bool):
+def _pass(sent, first_pass: bool, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = sent.value
         for batch in batches:
@@ -148,7 +150,7 @@ def _pass(sent, first_pass: bool):
                     own = np.diff(hit[words.first[i] : words.first[i + 1]].astype(np.int8), prepend=0, append=0)
                     spans[i] = [{"start": a, "end": b} for a, b in zip(np.flatnonzero(own == 1).tolist(), np.flatnonzero(own == -1).tolist(), strict=True)]
                 own = [c for c in batch.schema.names if c not in _OUT]
-                found = [pa.array(count, pa.int64()), pa.array(spans, _SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))]
+                found = [pa.array(count, pa.int64()), pa.array(spans, _SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.string() if kind == "string" else pa.int64()))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, stop - row) for c in own), *found], [*own, *_OUT])
 
     return run
@@ -158,14 +160,15 @@ def _searched(rows: DataFrame, benchmark: DataFrame, window: int, item_col: str,
     """rows (with _text) and n_words, spans, items. No shuffle: each text alone, against all patterns."""
     spark = rows.sparkSession
     prepare(spark)
-    bench = benchmark.select(benchmark[item_col].cast("long").alias("item"), F.coalesce(benchmark[item_text_col], F.lit("")).alias("words"))
+    kind = "string" if dict(benchmark.dtypes)[item_col] == "string" else "long"
+    bench = benchmark.select(benchmark[item_col].cast(kind).alias("item"), F.coalesce(benchmark[item_text_col], F.lit("")).alias("words"))
     chars = bench.agg(F.coalesce(F.sum(F.length("words")), F.lit(0))).first()[0]
     parts = max(1, -(-chars // part_chars))
-    schema = T.StructType([*rows.schema.fields, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in _OUT.items())])
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(k, T._parse_datatype_string(v.format(kind=kind))) for k, v in _OUT.items())])
     for part in range(parts):
         items = bench.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part) if parts > 1 else bench
         sent = spark.sparkContext.broadcast(tables([tuple(x) for x in items.collect()], window))  # about part_chars of text
-        rows = rows.mapInArrow(_pass(sent, part == 0), schema)
+        rows = rows.mapInArrow(_pass(sent, part == 0, kind), schema)
         if part + 1 < parts:
             rows = cut(rows)
             sent.unpersist()

@@ -193,12 +193,20 @@ def _lookup(targets: int):
 
 
 def factors_of(runs: np.ndarray, size: int) -> np.ndarray:
-    """The greedy parse: runs of one document, in order, joined where one goes on in the same reference."""
-    runs = runs[np.argsort(runs["pos"], kind="stable")]
-    go_on = (runs["pos"][1:] == runs["pos"][:-1] + runs["n"][:-1]) & (runs["ref"][1:] == runs["ref"][:-1]) & (runs["ref_pos"][1:] == runs["ref_pos"][:-1] + runs["n"][:-1])
+    """The greedy parse: runs of one document's windows, joined where one goes on in the same reference.
+
+    Where runs tell of one window twice, as those of repeated rows do, the first by reference holds."""
+    runs = runs[np.lexsort((runs["ref_pos"], runs["ref"], runs["pos"]))]
+    n = runs["n"].astype(np.int64)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    pos, one = np.unique(np.repeat(runs["pos"], n) + step, return_index=True)
+    of = np.repeat(np.arange(len(runs)), n)[one]
+    ref, ref_pos = runs["ref"][of], runs["ref_pos"][of] + step[one]
+    go_on = (pos[1:] == pos[:-1] + 1) & (ref[1:] == ref[:-1]) & (ref_pos[1:] == ref_pos[:-1] + 1)
     first = np.flatnonzero(np.concatenate([[True], ~go_on]))
-    out = runs[first].copy()
-    out["n"] = np.add.reduceat(runs["n"], first) + size - 1
+    out = runs[of[first]].copy()
+    out["pos"], out["ref_pos"] = pos[first], ref_pos[first]
+    out["n"] = np.diff(np.append(first, len(pos))) + size - 1
     return out
 
 
