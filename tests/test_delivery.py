@@ -148,3 +148,19 @@ def test_numbered_messages(spark):
                 assert _bytes(body) <= style.cap
                 expected.add((channel, d, i, len(parts) + 1 - i if style.reverse else i, _bytes(body), hashlib.sha256(body.encode()).hexdigest()))
     assert {tuple(r) for r in numbered_messages(spark, SF).collect()} == expected
+
+
+@pytest.mark.parametrize("bits", [1, 12])
+def test_spaced(spark, bits):
+    """Rows at least so far apart, with ties, against a loop."""
+    rng = random.Random(12)
+    rows = [(k, rng.randrange(400), i) for i in range(300) for k in (rng.choice([1, 2, 2, 3]),)]
+    expected = set()
+    for k in (1, 2, 3):
+        last = None
+        for _, t, i in sorted(r for r in rows if r[0] == k):
+            if last is None or t - last >= 25:
+                last = t
+                expected.add((k, t, i))
+    got = D.spaced(spark.createDataFrame(rows, "k long, t long, i long").repartition(3), "k", "t", ["i"], 25, bits)
+    assert {tuple(r) for r in got.select("k", "t", "i").collect()} == expected

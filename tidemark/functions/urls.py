@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Query keys that only track. Fixed values.
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "ref", "referrer", "source", "channel", "_t", "timestamp", "_", "random", "share_token", "share_id", "share_from")
+#: Further keys of one platform. Fixed values.
+PLATFORM_TRACKING = {"weibo": ("band_rank", "refer", "t")}
 
 
-def normalize_url(url: Column) -> Column:
-    """UR-1: without a query as it is; else without tracking keys and fragment, keys in order."""
+def normalize_url(url: Column, platform: Column | None = None) -> Column:
+    """UR-1: without a query as it is; else without tracking keys, those of the platform too, and fragment, keys in order."""
+    key = lambda p: F.lower(F.split_part(p, F.lit("="), F.lit(1)))
+    tracks = lambda p: key(p).isin(*TRACKING)
+    if platform is not None:
+        tracks = lambda p, all_=tracks: reduce(Column.__or__, [(platform == k) & key(p).isin(*v) for k, v in PLATFORM_TRACKING.items()], all_(p))
     base, query = F.split_part(url, F.lit("?"), F.lit(1)), F.regexp_extract(url, r"\?([^#]*)", 1)
-    pairs = F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.lower(F.split_part(p, F.lit("="), F.lit(1))).isin(*TRACKING))
+    pairs = F.filter(F.split(query, "&"), lambda p: (p != "") & ~tracks(p))
     ordered = F.transform(F.sort_array(F.transform(pairs, lambda p: F.struct(F.split_part(p, F.lit("="), F.lit(1)).alias("k"), p.alias("p")))), lambda s: s["p"])
     kept = F.array_join(ordered, "&")
     return F.when(query == "", url).when(kept == "", base).otherwise(F.concat(base, F.lit("?"), kept))

@@ -128,6 +128,19 @@ def packed(rows: DataFrame, key: str, order: list[str], text: str, cap: int, hea
     return out.groupBy(F.col("key").alias(key), F.col("message").cast("int").alias("batch")).agg(F.count("*").cast("int").alias("n"), filled.cast("int").alias("bytes"))
 
 
+def spaced(rows: DataFrame, key: str, at: str, order: list[str], least: int, bits: int = stretches.BITS) -> DataFrame:
+    """OX-10: rows of a key, in the order of `at` (a whole number) and `order`, that come `least` or more after the last one that was taken; the first is.
+
+    What has passed since that one is a message that is being filled: a row that would fill it to `least` starts the next."""
+    placed = stretches.numbered(rows.withColumn("key", F.col(key).cast("string")), ["key"], [at, *order], name="no", bits=bits)
+    following = placed.select("key", (F.col("no") + 1).alias("no"), F.col(at).alias("earlier"))
+    gap = F.col(at) - F.coalesce("earlier", F.col(at))
+    zero = F.lit(0).cast("long")
+    units = placed.join(following, ["key", "no"], "left").select("*", F.col("no").alias("_at"), gap.cast("long").alias("size"), zero.alias("left"), zero.alias("extra"))
+    out = dealt(units.select("key", F.col("_at").alias("at"), "size", "left", "extra", F.struct(*rows.columns).alias("row")), least - 1, bits)
+    return out.where("starts").select("row.*")
+
+
 @dataclass(frozen=True)
 class Style:
     """How a channel writes a report: bold marks, what stands between groups and between regions, the foot of each message."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +23,16 @@ def leaders(items: DataFrame, near: DataFrame) -> DataFrame:
     An item leads if no item before it that it is near to leads; else its leader is the first such. Every round decides
     all items whose nearer-to-front neighbours are decided, so the rounds are as many as the longest chain of neighbours.
     """
-    near = checkpointed(near.select("lead", "lead_k", "member"))
     alone = items.join(near.select(F.col("member").alias("title")).distinct(), "title", "left_anti")
-    done = checkpointed(alone.select("title", F.lit(True).alias("leads"), F.col("title").alias("leader")))
-    left = near
+    decided = [checkpointed(alone.select("title", F.lit(True).alias("leads"), F.col("title").alias("leader")))]
+    left = near.select("lead", "lead_k", "member", F.lit(None).cast("boolean").alias("leads"))
     while True:
-        state = left.join(done.select(F.col("title").alias("lead"), "leads"), "lead", "left")
-        votes = state.groupBy("member").agg(F.min_by("lead", F.when(F.col("leads"), F.col("lead_k"))).alias("leader"), F.min(F.when(F.col("leads"), F.col("lead_k"))).alias("first"), F.min(F.when(F.col("leads").isNull(), F.col("lead_k"))).alias("open"))
+        known = decided[-1].select(F.col("title").alias("lead"), F.col("leads").alias("now"))
+        left = checkpointed(left.join(known, "lead", "left").select("lead", "lead_k", "member", F.coalesce("leads", "now").alias("leads")))
+        votes = left.groupBy("member").agg(F.min_by("lead", F.when(F.col("leads"), F.col("lead_k"))).alias("leader"), F.min(F.when(F.col("leads"), F.col("lead_k"))).alias("first"), F.min(F.when(F.col("leads").isNull(), F.col("lead_k"))).alias("open"))
         sure = votes.where("open is null or first < open")
         new = checkpointed(sure.select(F.col("member").alias("title"), F.col("first").isNull().alias("leads"), F.when(F.col("first").isNull(), F.col("member")).otherwise(F.col("leader")).alias("leader")))
         if new.isEmpty():
-            return done.select("title", "leader")
-        done = checkpointed(done.unionByName(new))
-        left = checkpointed(left.join(new.select(F.col("title").alias("member")), "member", "left_anti"))
+            return reduce(DataFrame.unionByName, decided).select("title", "leader")
+        decided.append(new)  # rounds write what they decide, and no more
+        left = left.join(new.select(F.col("title").alias("member")), "member", "left_anti")

@@ -13,7 +13,7 @@ from tidemark.sources import tables as S
 from tidemark.sources.tables import with_
 
 TOPIC, START, END = "the", "2024-01-24", "2024-01-30"
-_STOP = ", ".join(f"'{w}'" for w in X.STOP_WORDS)
+_STOP, _AUTO_STOP = (", ".join(f"'{w}'" for w in of) for of in (X.STOP_WORDS, X.AUTO_STOP_WORDS))
 
 
 def _tokens_sql(column: str = "title") -> str:
@@ -173,7 +173,7 @@ def trending_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.groupBy("keyword").agg(F.count("*").alias("frequency"), F.count_distinct("title").alias("matched_news"))
 
 
-@query(with_("titles", body=rf""", tok AS (SELECT title, unnest(list_filter(regexp_extract_all(title, '[\x{{4e00}}-\x{{9fff}}]{{2,}}|[a-zA-Z]{{2,}}[a-zA-Z0-9]*'), lambda w: lower(w) NOT IN ({_STOP}))) AS keyword FROM titles)
+@query(with_("titles", body=rf""", tok AS (SELECT title, unnest(list_filter(regexp_extract_all(title, '[\x{{4e00}}-\x{{9fff}}]{{2,}}|[a-zA-Z]{{2,}}[a-zA-Z0-9]*'), lambda w: lower(w) NOT IN ({_AUTO_STOP}))) AS keyword FROM titles)
 SELECT keyword, count(*) AS frequency, count(DISTINCT title) AS matched_news FROM tok GROUP BY 1"""))
 def trending_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-14, TX-6: keywords taken from the titles themselves."""

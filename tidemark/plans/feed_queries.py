@@ -163,6 +163,16 @@ def normalize_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.table(spark, sf_dir, "pages").select("page_id", U.normalize_url(F.col("url")).alias("url"))
 
 
+@query(rf""" WITH p AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'weibo' ELSE 'other' END AS platform, split_part(url, '#', 1) || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'q=' || page_id || '&band_rank=3&Refer=top&T=1' AS url FROM pages),
+k AS (SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda x: x <> '' AND lower(split_part(x, '=', 1)) NOT IN ({_TRACK}) AND NOT (platform = 'weibo' AND lower(split_part(x, '=', 1)) IN ('band_rank', 'refer', 't')))), '&') AS kept FROM p)
+SELECT page_id, platform, split_part(url, '?', 1) || '?' || kept AS url FROM k""")
+def normalize_platform_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UR-1: keys that only one platform has for tracking."""
+    p = S.table(spark, sf_dir, "pages").withColumn("platform", F.when(F.col("page_id") % 2 == 0, "weibo").otherwise("other"))
+    url = F.concat(F.substring_index("url", "#", 1), F.when(F.contains("url", F.lit("?")), "&").otherwise("?"), F.lit("q="), F.col("page_id").cast("string"), F.lit("&band_rank=3&Refer=top&T=1"))
+    return p.select("page_id", "platform", U.normalize_url(url, F.col("platform")).alias("url"))
+
+
 _CANON = r"'https://' || regexp_extract(lower(url), '^https?://([^/?#:]+)', 1) || lower(regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '/+$', ''))"
 _SLUG = f"regexp_extract({_CANON}, '^https://[^/]*(?:/.*)?/([^/]*)$', 1)"
 _ID = f"coalesce(nullif(regexp_extract({_SLUG}, '{U.UUID_END}', 1), ''), regexp_extract({_SLUG}, '{U.HEX_END}', 1))"
@@ -181,12 +191,12 @@ def message_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.table(spark, sf_dir, "pages").select("page_id", U.uuid_of(F.col("url")).alias("uuid"))
 
 
-_STOP = ", ".join(f"'{w}'" for w in X.STOP_WORDS)
+_STOP, _AUTO_STOP = (", ".join(f"'{w}'" for w in of) for of in (X.STOP_WORDS, X.AUTO_STOP_WORDS))
 
 
 @query(with_("titles_doc", body=rf""" SELECT doc_id, array_to_string(list_filter(regexp_extract_all(title, '[\p{{L}}\p{{N}}_]+'), lambda w: length(w) >= 2 AND w NOT IN ({_STOP})), ' ') AS a,
 array_to_string(list_filter(regexp_extract_all(title, '[\p{{L}}\p{{N}}_]+'), lambda w: length(w) >= 2), ' ') AS b,
-array_to_string(list_filter(regexp_extract_all(title, '[\x{{4e00}}-\x{{9fff}}]{{2,}}|[a-zA-Z]{{2,}}[a-zA-Z0-9]*'), lambda w: lower(w) NOT IN ({_STOP})), ' ') AS c FROM titles_doc"""))
+array_to_string(list_filter(regexp_extract_all(title, '[\x{{4e00}}-\x{{9fff}}]{{2,}}|[a-zA-Z]{{2,}}[a-zA-Z0-9]*'), lambda w: lower(w) NOT IN ({_AUTO_STOP})), ' ') AS c FROM titles_doc"""))
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX-4, TX-5, TX-6: the three tokenisers."""
     t = F.col("title")
@@ -218,10 +228,10 @@ def interest_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("interests.txt:"), F.md5(F.array_join(lines, "\n"))).alias("hash"))
 
 
-@query(""" SELECT conv_id, turn, 'n:' || turn || ' ' || text AS body FROM conversations""")
+@query(""" SELECT conv_id, turn, rtrim(split_part('n:' || turn || ' ' || text, '```', 1), ' ' || chr(10)) AS body FROM conversations""")
 def fenced_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TX-18: what a model's answer has in its fence."""
-    c = S.table(spark, sf_dir, "conversations").where("not contains(text, '```')")
+    """TX-18: what a model's answer has in its fence, up to the first mark that closes it."""
+    c = S.table(spark, sf_dir, "conversations")
     inner = F.concat(F.lit("n:"), F.col("turn").cast("string"), F.lit(" "), "text")
     return c.select("conv_id", "turn", X.fenced(F.concat(F.lit("Here:\n```json\n"), inner, F.lit("\n```\nDone"))).alias("body"))
 

@@ -146,3 +146,17 @@ def numbered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = parts.select("key", "total", F.posexplode("parts").alias("k", "text")).withColumn("message", F.col("k") + 1)
         out.append(D.sendable(rows, style).select(F.lit(channel).alias("channel"), F.col("key").alias("doc_id"), "batch", "sent", F.octet_length("body").alias("bytes"), F.sha2("body", 256).alias("sha256")))
     return out[0].unionByName(out[1])
+
+
+@query(with_("titles_doc", body=""" SELECT doc_id, CASE WHEN trim(title) = '' OR doc_id % 7 = 0 THEN title ELSE rtrim('T:' || replace(title, 'e', 'E')) END AS title FROM titles_doc"""))
+def translated_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AI-5, TX-19: titles go out in numbered batches and come back to their places; blank ones aren't asked for, and where an answer is blank the title stays."""
+    t = S.titles_doc(spark, sf_dir).select("doc_id", "title")
+    asked = stretches.numbered(t.where(F.trim("title") != "").withColumn("key", F.lit("titles")), ["key"], ["doc_id"]).select("doc_id", "title", F.floor(F.col("at") / 50).alias("batch"), (F.col("at") % 50 + 1).alias("n"))
+    said = F.when(F.col("doc_id") % 7 == 0, F.lit(" ")).otherwise(F.concat(F.lit("T:"), F.replace("title", F.lit("e"), F.lit("E"))))  # stands for the model
+    lines = F.sort_array(F.collect_list(F.struct("n", F.concat(F.lit("["), F.col("n").cast("string"), F.lit("] "), said).alias("line"))))
+    answers = asked.groupBy("batch").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("answer"))
+    parts = answers.select("batch", F.explode(F.regexp_extract_all("answer", F.lit(r"(?m)^\[[0-9]+\][^\n]*"), F.lit(0))).alias("line"))
+    back = parts.select("batch", F.regexp_extract("line", r"^\[([0-9]+)\]", 1).cast("long").alias("n"), F.trim(F.regexp_replace("line", r"^\[[0-9]+\] ?", "")).alias("new"))
+    new = asked.join(back.where("new <> ''"), ["batch", "n"]).select("doc_id", "new")
+    return t.join(new, "doc_id", "left").select("doc_id", F.coalesce("new", "title").alias("title"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import backoff as backoff_of
+from tidemark.operators import delivery
 from tidemark.operators import transitions as T
 from tidemark.plans.catalog import query
 from tidemark.sources import tables as S
@@ -42,7 +43,7 @@ def tag_deprecate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST-10, ST-11: results of tags that an older version withdrew are marked, not deleted."""
     t = S.tag_results(spark, sf_dir)
     gone = t.where("version < 2 and tag_id = 2").select("tag_id", "version").distinct().withColumn("status", F.lit("deprecated"))
-    return t.join(F.broadcast(gone), ["tag_id", "version"], "left").select("item_id", "tag_id", F.coalesce("status", F.lit("active")).alias("status"))
+    return t.join(gone, ["tag_id", "version"], "left").select("item_id", "tag_id", F.coalesce("status", F.lit("active")).alias("status"))
 
 
 @query(with_("tag_results", "titles_doc", body=""" SELECT r.item_id, r.tag, d.title, coalesce(upper(d.source_id), '') AS source_name, 'hotlist' AS source_type FROM tag_results r JOIN titles_doc d ON d.doc_id = r.item_id WHERE r.tag_id = 1 AND r.score > 0
@@ -152,6 +153,18 @@ def circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.articles(spark, sf_dir).where("status <> 'notified'").groupBy("publisher").agg(F.count_if(bad).alias("failing"), (F.count_if(bad) * 10 > F.count("*") * 3).alias("open"), F.max(F.when(bad, F.col("next_at"))).alias("retry_at"))
 
 
+_COOLDOWN = 6 * 3600
+
+
+@query(f"""WITH RECURSIVE f AS (SELECT user_id % 25 AS kind, event_id, epoch(ts)::BIGINT AS t, row_number() OVER (PARTITION BY user_id % 25 ORDER BY epoch(ts)::BIGINT, event_id) AS no FROM events WHERE event_type = 'error'),
+r AS (SELECT kind, event_id, t, no, t AS sent, TRUE AS sends FROM f WHERE no = 1 UNION ALL SELECT f.kind, f.event_id, f.t, f.no, CASE WHEN r.sent + {_COOLDOWN} <= f.t THEN f.t ELSE r.sent END, r.sent + {_COOLDOWN} <= f.t FROM r JOIN f ON f.kind = r.kind AND f.no = r.no + 1)
+SELECT kind, event_id FROM r WHERE sends""")
+def alerts_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OX-10: failures that an alert is sent for: none goes out within six hours of the one before."""
+    e = S.table(spark, sf_dir, "events").where("event_type = 'error'")
+    return delivery.spaced(e.select((F.col("user_id") % 25).alias("kind"), F.floor(F.unix_micros("ts") / 1_000_000).alias("t"), "event_id"), "kind", "t", ["event_id"], _COOLDOWN).select("kind", "event_id")
+
+
 #: Periods of a day, the last across midnight.
 PERIODS = [("morning", "06:00", "11:30"), ("noon", "11:30", "14:00"), ("evening", "18:00", "22:00"), ("night", "22:00", "06:00")]
 _PERIODS = "(VALUES " + ", ".join(f"('{k}', '{a}', '{b}')" for k, a, b in PERIODS) + ") AS p(period_key, s, e)"
@@ -169,6 +182,16 @@ def active_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.obs(spark, sf_dir).join(_periods(spark), inside, "left").groupBy(F.coalesce("period_key", F.lit("default")).alias("period_key")).agg(F.count("*").alias("n"))
 
 
+@query(with_("obs", body=f", x AS (SELECT o.*, coalesce(period_key, 'default') AS period_key FROM obs o LEFT JOIN {_PERIODS} ON CASE WHEN s <= e THEN s <= crawl_time AND crawl_time < e ELSE crawl_time >= s OR crawl_time < e END) SELECT CAST(crawl_date AS VARCHAR) AS day, period_key, strftime(min(crawl_ts), '%Y-%m-%d %H:%M') AS runs_at, count(DISTINCT crawl_ts) AS crawls FROM x GROUP BY crawl_date, period_key"))
+def period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SM-11: what is done once in each period of a day is done at its first crawl; the ledger has that and how many crawls there were."""
+    t = F.col("crawl_time")
+    inside = F.when(F.col("s") <= F.col("e"), (F.col("s") <= t) & (t < F.col("e"))).otherwise((t >= F.col("s")) | (t < F.col("e")))
+    crawls = S.obs(spark, sf_dir).select("crawl_date", "crawl_ts", "crawl_time").distinct()
+    found = crawls.join(_periods(spark), inside, "left").groupBy("crawl_date", F.coalesce("period_key", F.lit("default")).alias("period_key"))
+    return found.agg(F.date_format(F.min("crawl_ts"), "yyyy-MM-dd HH:mm").alias("runs_at"), F.count("*").alias("crawls")).select(F.col("crawl_date").cast("string").alias("day"), "period_key", "runs_at", "crawls")
+
+
 _PLANS = [("a", "08:00", "12:00"), ("b", "11:00", "13:00"), ("c", "22:00", "02:00"), ("d", "01:00", "03:00"), ("e", "13:00", "14:00")]
 
 
