@@ -164,3 +164,27 @@ def test_spaced(spark, bits):
                 expected.add((k, t, i))
     got = D.spaced(spark.createDataFrame(rows, "k long, t long, i long").repartition(3), "k", "t", ["i"], 25, bits)
     assert {tuple(r) for r in got.select("k", "t", "i").collect()} == expected
+
+
+def test_tables_of_units_without_size():
+    """Sizes of 0 add no entry that another one ties with, so sorting by size alone decides."""
+    import numpy as np
+
+    for sizes in ([0, 0, 3, 0, 0], [0, 9, 0, 9, 0, 0], [0], [25, 0, 0]):
+        n = np.zeros(len(sizes), np.int64)
+        upto = [x[0] for x in D.Breaks(np.array(sizes), n, n, 24).table()]
+        assert len(set(upto)) == len(upto)
+
+
+def test_alerts_of_parts_of_seconds(spark, tmp_path):
+    """Times are rounded to the nearest second, as in the SQL, before they are compared."""
+    import duckdb
+
+    from tidemark.plans.registry import oracle_sql, queries
+
+    ts = ["00:00:00.6", "06:00:00.4", "06:00:00.7", "12:00:00.5", "12:00:01.5", "18:00:01.4", "18:00:01.6"]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE events AS SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT, TIMESTAMP '2024-01-01 {t}', 1::BIGINT, 'error')" for i, t in enumerate(ts)) + ") AS e(event_id, ts, user_id, event_type)")
+    con.sql(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT PARQUET)")
+    got = {(r.kind, r.event_id) for r in queries()["alerts_sent"](spark, str(tmp_path)).collect()}
+    assert got == set(con.sql(oracle_sql()["alerts_sent"]).fetchall())

@@ -49,7 +49,10 @@ class Breaks:
         return int(np.searchsorted(self.total, self.most - size, "right"))
 
     def table(self) -> list[tuple[int, int, int, bool]]:
-        """(size at most, size at the end, messages started, whether the first size is added to that at the end)."""
+        """(size at most, size at the end, messages started, whether the first size is added to that at the end).
+
+        No two have the same first entry: a unit of size 0 is never the first that doesn't fit, but after a full message.
+        """
         n, total = len(self.size), self.total
         nxt = self.after(np.arange(n))
         end, started = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -59,7 +62,7 @@ class Breaks:
             started[j] = 1 + self.extra[j] + (started[k] if k < n else 0)
         out = [(int(self.most - total[-1]), int(total[-1]), 0, True)]
         for j in range(self.first(0), -1, -1):
-            if j < n:
+            if j < n and (self.size[j] or not j):
                 out.append((int(self.most - total[j - 1]) if j else _FULL, int(end[j]), int(started[j]), False))
         return out
 
