@@ -66,6 +66,14 @@ def test_data_at_any_depth(spark):
     assert P.objects(spark.createDataFrame([(1, None)], "k int, s string").select("k", F.try_parse_json("s").alias("v")), "k", "v").count() == 0
 
 
+def test_references_in_data(spark):
+    """Quotes that a script has as references don't end its strings; data that are written in references are read all the same."""
+    one = {"title": "a &quot;b&quot; &amp; c", "url": "https://x.example/1?a&amp;b"}
+    pages = [(1, f'<script id="__NEXT_DATA__">{json.dumps(one)}</script>'), (2, f'<script id="__NEXT_DATA__">{html.escape(json.dumps({"name": "d", "link": "https://x.example/2"}))}</script>')]
+    got = {(r.k, r.link, r.title, r.kind) for r in P.articles(spark.createDataFrame(pages, "k int, html string"), "k", "html").collect()}
+    assert got == {(1, "https://x.example/1?a&b", 'a "b" & c', "data"), (2, "https://x.example/2", "d", "data")}
+
+
 def test_identity(spark):
     from tidemark.functions import articles as A
 

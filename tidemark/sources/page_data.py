@@ -23,9 +23,10 @@ def _unescaped(text: Column) -> Column:
 
 
 def script_data(html: Column) -> Column:
-    """The page's data as a VARIANT; null without the script, or if that is no JSON."""
+    """The page's data as a VARIANT; null without the script, or if that is no JSON. References inside a script are text; they are decoded where it is no JSON as it stands."""
     body = F.regexp_extract(html, r"""(?s)<script[^>]+id=["']__NEXT_DATA__["'][^>]*>(.*?)</script>""", 1)
-    return F.try_parse_json(F.nullif(_unescaped(body), F.lit("")))
+    as_json = lambda x: F.try_parse_json(F.nullif(x, F.lit("")))
+    return F.coalesce(as_json(body), as_json(_unescaped(body)))
 
 
 def objects(data: DataFrame, key: str, value: str) -> DataFrame:
@@ -53,7 +54,7 @@ def _first(value: str, keys: tuple[str, ...]) -> Column:
 def articles(pages: DataFrame, key: str, html: str) -> DataFrame:
     """SRC-12: key, link, title, description, kind: each link once, of the page's data (that which stands the highest), or of its anchors where the data has none."""
     data = objects(pages.select(key, script_data(F.col(html)).alias("data")), key, "data")
-    named = data.select(key, "path", _first("data", TITLES).alias("title"), _first("data", LINKS).alias("link"), F.coalesce(_first("data", DESCRIPTIONS), F.lit("")).alias("description"), F.expr("variant_get(data, '$.type', 'string')").alias("type"))
+    named = data.select(key, "path", _first("data", TITLES).alias("title"), _unescaped(_first("data", LINKS)).alias("link"), F.coalesce(_first("data", DESCRIPTIONS), F.lit("")).alias("description"), F.expr("variant_get(data, '$.type', 'string')").alias("type"))
     named = named.where("title is not null and link rlike '^https?://'").where("type is null or lower(type) not like '%video%'")
     named = named.select(key, strip_tags(F.col("title")).alias("title"), "link", strip_tags(F.col("description")).alias("description"), F.struct(F.length("path"), "path").alias("place")).where("title <> ''")
     own = named.groupBy(key, "link").agg(F.min_by(F.struct("title", "description"), "place").alias("x")).select(key, "link", "x.title", "x.description", F.lit("data").alias("kind"))
