@@ -154,6 +154,22 @@ def test_similar_lines_of_one_template(spark, own):
     assert _recall(spark, [a for a, _ in pairs] + [b for _, b in pairs], pairs) > 0.99
 
 
+def test_large_bands_lose_no_pair(spark, monkeypatch):
+    """Lines of one template whose similar pairs agree in few bands: in small blocks as many are found as at once."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("bcdfghklmnprstvaeiou") for _ in range(6)) for _ in range(900)]
+    head, tail = " ".join(words[:9]), " ".join(words[9:18])
+    own = [[rng.choice(words) for _ in range(8)] for _ in range(60)]
+    lines = [f"{head} {' '.join(x)} {tail}" for x in own] + [f"{head} {' '.join([x[0], '#', *x[2:5], '#', *x[6:]])} {tail}" for x in own]
+    assert 0.8 <= min(brute.similarity(a, b) for a, b in zip(lines[:60], lines[60:], strict=True)) < 0.87
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    left = []
+    for n in (line_dedup.GROUP, 4):
+        monkeypatch.setattr(line_dedup, "GROUP", n)
+        left.append({r.doc_id for r in line_dedup.without_lines(docs).where("text <> ''").select("doc_id").collect()})
+    assert left[0] == left[1] and len(left[0]) < 70
+
+
 @pytest.mark.parametrize(("letters", "n"), [("ABCDEFGHIJKLMNOPQRSTUVWXYZ     ", 68), ("0123456789 .", 40), ("абвгдежзиклмнопрст   ", 80), ("".join(map(chr, range(0x4E00, 0x5200))), 60), ("".join(map(chr, range(0x4E00, 0x5200))), 200)])
 def test_similar_lines_without_vowels_or_words(spark, letters, n):
     rng = random.Random(n)

@@ -7,13 +7,14 @@ in one task, so that signatures are shuffled and not texts. Texts are read once
 of its pairs alone.
 
 Lines that share a band are candidates. Each is first compared with one line of its band, in an order of the band's own,
-and verified pairs are joined by a distributed union-find. A band whose lines are then of several components is open: up
-to GROUP lines of it are compared across components, all of them. Larger ones are keyed anew by two bands that they
-share, then three, and so on, which leaves small groups of lines that agree in more; none is cut off. Lines that agree
-in all bands are each compared with one of them, whatever their number. Sketches of two bits a bin drop most unlike
-pairs before the texts are looked at; LEAST_BINS is so low that similar ones pass but once in some thousand. What passes
-is verified by the exact Jaccard similarity of the sets of shingles. Of each component, equal lines
-included, the line that comes first (by doc_id, then place) is kept.
+and verified pairs are joined by a distributed union-find. A band whose lines are then of several components is open: all
+its lines outside its largest component are compared with all of other components, in blocks of GROUP by GROUP lines,
+whatever their number; none is cut off. Two tests drop most unlike pairs inside that join, so that what it makes is near
+the number of similar pairs: sketches of two bits a bin (LEAST_BINS is so low that all similar ones pass but one in some
+thousand), and maps, of MAP_WORDS * 64 bits with one for each shingle. Maps differ in no more bits than sets of shingles
+in shingles, so no similar pair fails that test; only lines with a sketch like another's get a map. What passes is
+verified by the exact Jaccard similarity of the sets of shingles. Of each component, equal lines included, the line that
+comes first (by doc_id, then place) is kept.
 
 Equal lines are one from the start. Lines of under LEAST characters (trimmed) are compared for equality alone; lines
 without a word stay.
@@ -40,8 +41,10 @@ SIMILARITY = 0.8
 SPREAD = 3
 #: Bins in which the sketches of a pair agree at least; those of similar lines agree in 20 of 24 on average.
 LEAST_BINS = 15
-#: Lines of an open band that are compared across components at once.
-GROUP = 1024
+#: Lines of an open band on either side of a block.
+GROUP = 4096
+#: Words of 64 bits in a line's map of its shingles.
+MAP_WORDS = 16
 #: Bytes up to which shingle sets, hashes or places of lines are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 _BINS = BANDS * ROWS
@@ -106,6 +109,30 @@ def _shingle_set(line: Column) -> Column:
     return F.transform(F.array(F.encode(line, "UTF-32")), lambda u: F.array_distinct(of(u)))[0]
 
 
+def _texts(asked: DataFrame, lines: DataFrame) -> DataFrame:
+    """h, line of the hashes asked for, each once; lines: (h, line), copies included."""
+    return lines.join(_bounded(asked, F.lit(64)), "h").groupBy("h").agg(F.first("line").alias("line"))
+
+
+def _maps(texts: DataFrame) -> DataFrame:
+    """h, n, w0, w1, ...: the number of a line's shingles, repeated ones included, and a bit for each shingle."""
+    n = F.length("line") - (SHINGLE - 1)
+    places = texts.select("h", n.alias("n"), F.encode("line", "UTF-32").alias("u")).select("h", "n", "u", F.explode(F.sequence(F.lit(1), F.col("n") * 4, F.lit(4))).alias("at"))
+    s = places.select("h", "n", F.xxhash64(F.substring("u", F.col("at"), F.lit(4 * SHINGLE))).alias("s"))
+    s = s.select("h", "n", F.expr(f"cast(shiftright(s, 6) & {MAP_WORDS - 1} as int)").alias("word"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit"))
+    return s.groupBy("h", "n").agg(*[F.coalesce(F.bit_or(F.when(F.col("word") == i, F.col("bit"))), F.lit(0)).alias(f"w{i}") for i in range(MAP_WORDS)])
+
+
+def _near(a: str, b: str) -> Column:
+    """Whether the maps of two lines, with these endings of their columns, differ in no more bits than those of similar lines may."""
+    differ = sum((F.bit_count(F.col(f"w{i}{a}").bitwiseXOR(F.col(f"w{i}{b}"))) for i in range(MAP_WORDS)), F.lit(0))
+    return differ * (1 + SIMILARITY) <= (F.col(f"n{a}") + F.col(f"n{b}")) * (1 - SIMILARITY) + 1e-9
+
+
+def _ended(df: DataFrame, end: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{c}{end}") for c in df.columns])
+
+
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """a, b of the pairs (a, b) of an exact Jaccard similarity of SIMILARITY or more; lines: (h, line), copies included.
 
@@ -149,6 +176,34 @@ def _stars(met: DataFrame) -> DataFrame:
     return met.where((F.col("g") != F.col("h")) & _alike(F.col("sketch"), F.col("of"))).select(*_pair("g", "h"))
 
 
+def _across(groups: DataFrame, lines: DataFrame) -> DataFrame:
+    """a, b: similar lines of one key (key, h, sketch, root) and several components; lines: (h, line), copies included.
+
+    A key's lines outside its largest component meet all of its lines of other components. Both are dealt to stripes of
+    some GROUP lines, and a block is the meeting of two stripes.
+    """
+    parts = groups.groupBy("key", "root").agg(F.count("*").alias("c"))
+    most = parts.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1 and `all` > 2")
+    split = most.select("key", F.col("most.root").alias("main"), F.ceil(F.col("all") / GROUP).alias("cols"), F.ceil((F.col("all") - F.col("most.c")) / GROUP).alias("rows"))
+    still = cut(groups.join(_bounded(cut(split), F.lit(64)), "key").withColumn("at", F.xxhash64(F.lit(2), "h")))
+    to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    block = [F.col(f"{c}_1") == F.col(f"{c}_2") for c in ("key", "row", "col")]
+    other = (F.col("root_1") != F.col("root_2")) & ((F.col("root_2") == F.col("main_2")) | (F.col("root_1") < F.col("root_2")))
+
+    def dealt(of: DataFrame) -> tuple[DataFrame, DataFrame]:
+        few = of.where("root <> main").withColumn("row", F.pmod("at", "rows")).withColumn("col", to("cols"))
+        all_ = of.withColumn("col", F.pmod("at", "cols")).withColumn("row", to("rows"))
+        return _ended(few.drop("at", "rows", "cols"), "_1"), _ended(all_.drop("at", "rows", "cols"), "_2")
+
+    few, all_ = dealt(still)
+    alike = reduce(Column.__and__, [*block, other, _alike(F.col("sketch_1"), F.col("sketch_2"))])
+    asked = few.join(all_, alike, "left_semi").select(F.col("h_1").alias("h")).union(all_.join(few, alike, "left_semi").select("h_2"))
+    texts = cut(_texts(cut(asked.distinct()), lines))
+    few, all_ = dealt(still.join(cut(_maps(texts)), "h"))
+    pairs = few.join(all_, alike & _near("_1", "_2")).select(*_pair("h_1", "h_2"))
+    return verified(cut(pairs.distinct()), texts)
+
+
 def fuzzy_links(lines: DataFrame) -> DataFrame:
     """a, b: hashes of distinct lines, joined by verified similarities; lines: (h, line), copies included."""
     keys = cut(signatures(lines))
@@ -156,24 +211,8 @@ def fuzzy_links(lines: DataFrame) -> DataFrame:
     first = cut(_stars(groups).distinct())
     roots = cut(components(verified(first, lines)))
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    groups = groups.join(_bounded(roots.withColumnRenamed("node", "h"), F.lit(64)), "h", "left").select("key", F.col("key").alias("last"), "h", "sketch", F.coalesce("root", "h").alias("root"))
-    more = None
-    for level in range(BANDS):
-        split = groups.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 2 and low < high")
-        still = cut(groups.join(_bounded(cut(split.select("key", "n")), F.lit(64)), "key"))
-        if still.isEmpty():
-            break
-        small, large = still.where(F.col("n") <= GROUP), still.where(F.col("n") > GROUP).drop("n")
-        one, two = (small.select(F.col("key").alias(f"key{i}"), *[F.col(c).alias(f"{c}{i}") for c in ("h", "root", "sketch")]) for i in (1, 2))
-        across = (F.col("key1") == F.col("key2")) & (F.col("root1") < F.col("root2")) & _alike(F.col("sketch1"), F.col("sketch2"))
-        pairs = one.join(two, across).select(*_pair("h1", "h2"))
-        if level:
-            pairs = pairs.union(_stars(_met(large.select("key", "h", "sketch"), keys)))
-        pairs = cut(pairs.distinct())
-        more = pairs if more is None else more.union(pairs)
-        deeper = large.join(keys.select("h", F.explode("keys").alias("next")), "h").where("next > last")
-        groups = cut(deeper.select(F.xxhash64("key", "next").alias("key"), F.col("next").alias("last"), "h", "sketch", "root"))
-    return links if more is None else links.union(verified(cut(more.distinct()), lines))
+    groups = groups.join(_bounded(roots.withColumnRenamed("node", "h"), F.lit(64)), "h", "left").select("key", "h", "sketch", F.coalesce("root", "h").alias("root"))
+    return links.union(_across(groups, lines))
 
 
 def lost_lines(docs: DataFrame) -> DataFrame:
