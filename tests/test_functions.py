@@ -121,3 +121,21 @@ def test_clusters_against_a_greedy_loop(spark):
 
 def _may(a, b):
     return min(len(a), len(b)) >= 0.35 * max(len(a), len(b)) and _jaccard(set(a), set(b)) >= 0.35
+
+
+def test_block_ratio():
+    """The ratio by runs of bits is the standard library's, ties and long titles included; under the bound it is 0."""
+    rng = random.Random(5)
+    for letters in ("ab", "abcde", "abcdefghij klmnop\U0001f600"):
+        for _ in range(300):
+            a, b = ("".join(rng.choice(letters) for _ in range(rng.randrange(100))) for _ in "ab")
+            rows = similarity.letter_rows(b) if len(b) < 88 else None
+            for least in (0.0, 0.4, 0.7):
+                r = SequenceMatcher(None, a, b).ratio()
+                assert similarity.block_ratio(a, b, rows, least) == (r if r >= least else 0.0)
+
+
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(similarity, "_COLUMNS", 3)
+    a, b = [["x", "y", "z", "u", "v"], [], ["w"]], [["v", "x", "q", "u", "y"], ["z"]]
+    assert similarity.common_counts(a, b).tolist() == [[len(set(x) & set(y)) for y in b] for x in a]
