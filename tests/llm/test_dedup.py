@@ -170,6 +170,40 @@ def test_large_bands_lose_no_pair(spark, monkeypatch):
     assert left[0] == left[1] and len(left[0]) < 70
 
 
+def test_near_copies_are_verified_once_for_two_components(spark, monkeypatch):
+    """Copies of one line with places changed: most pairs are just under the similarity, and of components that meet one link is enough."""
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefghij klmno pqrst uvw") for _ in range(300))
+    lines = []
+    for _ in range(300):
+        y = list(base)
+        for at in rng.sample(range(300), rng.choice((5, 9))):
+            y[at] = rng.choice("0123456789")
+        lines.append("".join(y))
+    tested, verified = [], line_dedup.verified
+
+    def counted(pairs, texts):
+        tested.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    rows = list(enumerate(lines))
+    got = line_dedup.without_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    _check_lines(rows, [tuple(r) for r in got])
+    assert sum(tested) < 10 * len(lines), tested
+
+
+def test_maps_lose_no_similar_pair(spark):
+    """Maps of lines with repeated shingles differ in no more bits than their sets."""
+    rng = random.Random(10)
+    lines = ["".join(rng.choice("ab") for _ in range(n)) + tail for n in (30, 60, 120) for tail in ("", "ababababab", "c" * 20) for _ in range(6)]
+    maps = line_dedup._maps(spark.createDataFrame(list(enumerate(lines)), "h long, line string"))
+    two = line_dedup._ended(maps, "_1").crossJoin(line_dedup._ended(maps, "_2"))
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    for r in two.select("h_1", "h_2", "n_1", line_dedup._differ("_1", "_2").alias("differ")).collect():
+        assert r.n_1 == len(sets[r.h_1]) and r.differ <= len(sets[r.h_1] ^ sets[r.h_2])
+
+
 @pytest.mark.parametrize(("letters", "n"), [("ABCDEFGHIJKLMNOPQRSTUVWXYZ     ", 68), ("0123456789 .", 40), ("абвгдежзиклмнопрст   ", 80), ("".join(map(chr, range(0x4E00, 0x5200))), 60), ("".join(map(chr, range(0x4E00, 0x5200))), 200)])
 def test_similar_lines_without_vowels_or_words(spark, letters, n):
     rng = random.Random(n)

@@ -11,10 +11,11 @@ and verified pairs are joined by a distributed union-find. A band whose lines ar
 its lines outside its largest component are compared with all of other components, in blocks of GROUP by GROUP lines,
 whatever their number; none is cut off. Two tests drop most unlike pairs inside that join, so that what it makes is near
 the number of similar pairs: sketches of two bits a bin (LEAST_BINS is so low that all similar ones pass but one in some
-thousand), and maps, of MAP_WORDS * 64 bits with one for each shingle. Maps differ in no more bits than sets of shingles
-in shingles, so no similar pair fails that test; only lines with a sketch like another's get a map. What passes is
-verified by the exact Jaccard similarity of the sets of shingles. Of each component, equal lines included, the line that
-comes first (by doc_id, then place) is kept.
+thousand), and maps, of MAP_WORDS * 64 parities of the shingles that fall there. Shingles that both lines have change
+both maps alike, so maps differ in no more bits than sets in shingles, and no similar pair fails that test; only lines
+with a sketch like another's get a map. Of what passes, the nearest pair of each two components is verified first by the
+exact Jaccard similarity of the sets of shingles, then all pairs whose components that hasn't joined. Of each component,
+equal lines included, the line that comes first (by doc_id, then place) is kept.
 
 Equal lines are one from the start. Lines of under LEAST characters (trimmed) are compared for equality alone; lines
 without a word stay.
@@ -43,9 +44,9 @@ SPREAD = 3
 LEAST_BINS = 15
 #: Lines of an open band on either side of a block.
 GROUP = 4096
-#: Words of 64 bits in a line's map of its shingles.
+#: Words of 64 bits in a line's map of its distinct shingles.
 MAP_WORDS = 16
-#: Bytes up to which shingle sets, hashes or places of lines are broadcast; beyond, they are joined by a shuffle.
+#: Bytes up to which hashes or places of lines are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 _BINS = BANDS * ROWS
 #: A hash's upper bits choose its bin, these are its value; the upper half of the value is kept.
@@ -115,18 +116,21 @@ def _texts(asked: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _maps(texts: DataFrame) -> DataFrame:
-    """h, n, w0, w1, ...: the number of a line's shingles, repeated ones included, and a bit for each shingle."""
-    n = F.length("line") - (SHINGLE - 1)
-    places = texts.select("h", n.alias("n"), F.encode("line", "UTF-32").alias("u")).select("h", "n", "u", F.explode(F.sequence(F.lit(1), F.col("n") * 4, F.lit(4))).alias("at"))
-    s = places.select("h", "n", F.xxhash64(F.substring("u", F.col("at"), F.lit(4 * SHINGLE))).alias("s"))
+    """h, n, w0, w1, ...: the number of a line's distinct shingles, and for each bit whether an odd number of them falls there."""
+    sets = texts.select("h", _shingle_set(F.col("line")).alias("s"))
+    s = sets.select("h", F.size("s").alias("n"), F.explode("s").alias("s"))
     s = s.select("h", "n", F.expr(f"cast(shiftright(s, 6) & {MAP_WORDS - 1} as int)").alias("word"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit"))
-    return s.groupBy("h", "n").agg(*[F.coalesce(F.bit_or(F.when(F.col("word") == i, F.col("bit"))), F.lit(0)).alias(f"w{i}") for i in range(MAP_WORDS)])
+    return s.groupBy("h", "n").agg(*[F.coalesce(F.bit_xor(F.when(F.col("word") == i, F.col("bit"))), F.lit(0)).alias(f"w{i}") for i in range(MAP_WORDS)])
+
+
+def _differ(a: str, b: str) -> Column:
+    """Bits in which the maps of two lines differ, with these endings of their columns."""
+    return sum((F.bit_count(F.col(f"w{i}{a}").bitwiseXOR(F.col(f"w{i}{b}"))) for i in range(MAP_WORDS)), F.lit(0))
 
 
 def _near(a: str, b: str) -> Column:
-    """Whether the maps of two lines, with these endings of their columns, differ in no more bits than those of similar lines may."""
-    differ = sum((F.bit_count(F.col(f"w{i}{a}").bitwiseXOR(F.col(f"w{i}{b}"))) for i in range(MAP_WORDS)), F.lit(0))
-    return differ * (1 + SIMILARITY) <= (F.col(f"n{a}") + F.col(f"n{b}")) * (1 - SIMILARITY) + 1e-9
+    """Whether the maps of two lines differ in no more bits than those of similar lines may."""
+    return _differ(a, b) * (1 + SIMILARITY) <= (F.col(f"n{a}") + F.col(f"n{b}")) * (1 - SIMILARITY) + 1e-9
 
 
 def _ended(df: DataFrame, end: str) -> DataFrame:
@@ -136,21 +140,13 @@ def _ended(df: DataFrame, end: str) -> DataFrame:
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """a, b of the pairs (a, b) of an exact Jaccard similarity of SIMILARITY or more; lines: (h, line), copies included.
 
-    Sets of shingles are made once for each line and broadcast if they are small. Beyond that the texts travel, which are
-    an eighth of their sets, and each pair makes its own sets.
+    The texts travel, which are an eighth of their sets, and each pair makes its own sets.
     """
-    asked = cut(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
-    found = cut(lines.join(_bounded(asked, F.lit(64)), "h").groupBy("h").agg(F.first("line").alias("line")))
-    if (found.agg(F.sum(F.lit(64) + 8 * F.length("line"))).first()[0] or 0) <= BROADCAST_BYTES:
-        sets = F.broadcast(cut(found.select("h", _shingle_set(F.col("line")).alias("s"))))
-        sets_of = pairs.repartition(partitions(pairs.sparkSession), "a", "b")  # a pair costs far more than its bytes tell
-        for c in "ab":
-            sets_of = sets_of.join(sets.select(F.col("h").alias(c), F.col("s").alias(f"s_{c}")), c)
-    else:
-        two = _bounded(pairs, F.lit(64))
-        sides = [found.withColumnRenamed("h", c).join(two, c).select("a", "b", F.col("line").alias(f"line_{c}")) for c in "ab"]
-        both = sides[0].join(sides[1], ["a", "b"])  # by pairs, so that no line in many of them is one task's
-        sets_of = both.select("a", "b", _shingle_set(F.col("line_a")).alias("s_a"), _shingle_set(F.col("line_b")).alias("s_b"))
+    found = cut(_texts(cut(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()), lines))
+    two = _bounded(pairs, F.lit(64))
+    sides = [found.withColumnRenamed("h", c).join(two, c).select("a", "b", F.col("line").alias(f"line_{c}")) for c in "ab"]
+    both = sides[0].join(sides[1], ["a", "b"])  # by pairs, so that no line in many of them is one task's
+    sets_of = both.select("a", "b", _shingle_set(F.col("line_a")).alias("s_a"), _shingle_set(F.col("line_b")).alias("s_b"))
     common, n = F.size(F.array_intersect("s_a", "s_b")), F.size("s_a") + F.size("s_b")
     return sets_of.select("a", "b", (common * (1 + SIMILARITY) >= SIMILARITY * n - 1e-9).alias("similar")).where("similar").select("a", "b")
 
@@ -177,10 +173,11 @@ def _stars(met: DataFrame) -> DataFrame:
 
 
 def _across(groups: DataFrame, lines: DataFrame) -> DataFrame:
-    """a, b: similar lines of one key (key, h, sketch, root) and several components; lines: (h, line), copies included.
+    """a, b: links between components of lines of one key (key, h, sketch, root); lines: (h, line), copies included.
 
     A key's lines outside its largest component meet all of its lines of other components. Both are dealt to stripes of
-    some GROUP lines, and a block is the meeting of two stripes.
+    some GROUP lines, and a block is the meeting of two stripes. Two components need one link, so of the pairs that may
+    be similar the nearest of each two is verified first, and the others only where those links don't join them.
     """
     parts = groups.groupBy("key", "root").agg(F.count("*").alias("c"))
     most = parts.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1 and `all` > 2")
@@ -200,8 +197,18 @@ def _across(groups: DataFrame, lines: DataFrame) -> DataFrame:
     asked = few.join(all_, alike, "left_semi").select(F.col("h_1").alias("h")).union(all_.join(few, alike, "left_semi").select("h_2"))
     texts = cut(_texts(cut(asked.distinct()), lines))
     few, all_ = dealt(still.join(cut(_maps(texts)), "h"))
-    pairs = few.join(all_, alike & _near("_1", "_2")).select(*_pair("h_1", "h_2"))
-    return verified(cut(pairs.distinct()), texts)
+    far = _differ("_1", "_2") / (F.col("n_1") + F.col("n_2"))
+    pairs = few.join(all_, alike & _near("_1", "_2")).select(*_pair("h_1", "h_2"), F.least("root_1", "root_2").alias("u"), F.greatest("root_1", "root_2").alias("v"), far.alias("far"))
+    pairs = cut(pairs.distinct())
+    best = cut(pairs.groupBy("u", "v").agg(F.min_by(F.struct("a", "b"), "far").alias("p")).select("u", "v", "p.*"))
+    links = cut(verified(best.select("a", "b"), texts))
+    joined = cut(components(best.join(_bounded(links, F.lit(64)), ["a", "b"], "left_semi"), "u", "v"))
+    rest = pairs.select("a", "b", "u", "v")
+    for c in "uv":
+        to = _bounded(joined.select(F.col("node").alias(c), F.col("root").alias(f"to_{c}")), F.lit(64))
+        rest = rest.join(to, c, "left").withColumn(f"to_{c}", F.coalesce(f"to_{c}", c))
+    rest = rest.where("to_u <> to_v").join(_bounded(best.select("a", "b"), F.lit(64)), ["a", "b"], "left_anti").select("a", "b")
+    return links.union(verified(cut(rest), texts))
 
 
 def fuzzy_links(lines: DataFrame) -> DataFrame:
