@@ -139,3 +139,27 @@ def test_common_counts(monkeypatch):
     monkeypatch.setattr(similarity, "_COLUMNS", 3)
     a, b = [["x", "y", "z", "u", "v"], [], ["w"]], [["v", "x", "q", "u", "y"], ["z"]]
     assert similarity.common_counts(a, b).tolist() == [[len(set(x) & set(y)) for y in b] for x in a]
+
+
+def test_link_counts_equal_pairs_one_by_one():
+    """Ranges of lengths and products of matrices count what a test of each pair does, ties at the threshold included."""
+    import random
+
+    import numpy as np
+
+    from tidemark.operators.similarity import link_counts
+
+    rng = random.Random(4)
+    titles = sorted(("".join(rng.choice(of) for _ in range(rng.choice((1, 2, 7, 20, 57, 80)))) for of in ("abc de", "abcdefghijklmnopqrst", "\u4e00\u4e01\u4e02\U0001f600ab") for _ in range(60)), key=len)
+    sets = ["".join(sorted(set(x))) for x in titles]
+    n = np.array([len(x) for x in titles])
+
+    def near(i, j):
+        a, b, both = set(titles[i]), set(titles[j]), len(set(titles[i]) & set(titles[j]))
+        return 100 * min(n[i], n[j]) >= 35 * max(n[i], n[j]) and 100 * both >= 35 * (len(a) + len(b) - both)
+
+    rows, cols = range(0, 180, 2), range(1, 180, 2)
+    left, right = link_counts(n[::2], sets[::2], n[1::2], sets[1::2], 0.7)
+    assert left.tolist() == [sum(near(i, j) for j in cols) for i in rows]
+    assert right.tolist() == [sum(near(i, j) for i in rows) for j in cols]
+    assert 0 < left.sum() < 90 * 90
