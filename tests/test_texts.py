@@ -140,3 +140,21 @@ def test_this_month(words):
 def test_no_date(words):
     with pytest.raises(ValueError):
         dates.date_of(words, AS_OF)
+
+
+def test_foot_is_looked_for_once(spark):
+    """The foot begins at the last place of the first mark that stands behind something, as its pattern says; the plan has one search for it."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import text as X
+
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(("\n", "\n\n> ", "\n\n\n> ", "\n\n<font", "\n\n_", "\n\n更新时间", "é", "x> ", "_")) for _ in range(rng.randrange(12))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+
+    def foot(text):
+        return next((m[1] for m in (re.search(f"(?s)^.+({mark}.*)$", text) for mark in X.FEET) if m), "")
+
+    assert [r.foot for r in df.select("i", X._foot(F.col("t")).alias("foot")).orderBy("i").collect()] == [foot(x) for x in texts]
+    plan = df.select(X.truncate_before_foot(F.col("t"), 1000).alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("<font") <= 2
