@@ -135,6 +135,29 @@ def test_block_ratio():
                 assert similarity.block_ratio(a, b, rows, least) == (r if r >= least else 0.0)
 
 
+def test_ratios_of_many_pairs_at_once():
+    """All pairs of a block together give the standard library's ratios, over edges of words, long and empty titles, and no single pair is looked at alone."""
+    import numpy as np
+
+    rng = random.Random(7)
+    lengths = (0, 1, 2, 5, 20, 63, 64, 65, 80, 127, 128, 140)
+    for letters in ("ab", "abcde", "abcdefghij klmnop\U0001f600", "a\u00e9\0x"):
+        a, b = (["".join(rng.choice(letters) for _ in range(rng.choice(lengths))) for _ in range(24)] for _ in "ab")
+        b += a[:4]
+        expected = np.array([[SequenceMatcher(None, x, y).ratio() for y in b] for x in a])
+        for least in (0.0, 0.4, 0.7):
+            got = similarity.ratios(a, b, np.ones(expected.shape, bool), least)
+            assert (got == np.where(expected >= least, expected, 0)).all()
+        assert (similarity._bounds(a, b) >= np.where(expected == 1, 0, expected) - 1e-9).all()
+
+
+def test_ratios_of_a_block_ask_for_no_pair_alone(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(similarity, "block_ratio", None)
+    assert similarity.ratios(["abcd", "xy"], ["bcda", "", "yx"], np.ones((2, 3), bool), 0.4).tolist() == [[0.75, 0, 0], [0, 0, 0.5]]
+
+
 def test_common_counts(monkeypatch):
     monkeypatch.setattr(similarity, "_COLUMNS", 3)
     a, b = [["x", "y", "z", "u", "v"], [], ["w"]], [["v", "x", "q", "u", "y"], ["z"]]
