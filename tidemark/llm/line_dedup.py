@@ -13,7 +13,8 @@ whatever their number; none is cut off. Two tests drop most unlike pairs inside
 the number of similar pairs: sketches of two bits a bin (LEAST_BINS is so low that all similar ones pass but one in some
 thousand), and maps, of MAP_WORDS * 64 parities of the shingles that fall there. Shingles that both lines have change
 both maps alike, so maps differ in no more bits than sets in shingles, and no similar pair fails that test; only lines
-with a sketch like another's get a map. Of what passes, the nearest pair of each two components is verified first by the
+with a sketch like another's get a map. First ROUNDS further lines of each open band are compared with all others, which
+leaves few components of many near copies. Of what passes then, the nearest pair of each two components is verified first by the
 exact Jaccard similarity of the sets of shingles, then all pairs whose components that hasn't joined. Of each component,
 equal lines included, the line that comes first (by doc_id, then place) is kept.
 
@@ -42,6 +43,8 @@ SIMILARITY = 0.8
 SPREAD = 3
 #: Bins in which the sketches of a pair agree at least; those of similar lines agree in 20 of 24 on average.
 LEAST_BINS = 15
+#: Further stars that a band's lines are compared with before all of them meet.
+ROUNDS = 2
 #: Lines of an open band on either side of a block.
 GROUP = 4096
 #: Words of 64 bits in a line's map of its distinct shingles.
@@ -172,6 +175,32 @@ def _stars(met: DataFrame) -> DataFrame:
     return met.where((F.col("g") != F.col("h")) & _alike(F.col("sketch"), F.col("of"))).select(*_pair("g", "h"))
 
 
+def _starred(still: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines of open keys (key, h, root, and their map) with the roots that more stars leave, and the links a, b found.
+
+    In each of ROUNDS rounds a key has another of its lines as its star, and the nearest pair of each component and the
+    star's is verified. So a key's near copies, which one star doesn't all reach, are mostly one component before all its
+    lines meet, at the cost of one pair a line.
+    """
+    links = texts.where("false").select(F.col("h").alias("a"), F.col("h").alias("b"))
+    for k in range(ROUNDS):
+        order = F.xxhash64(F.lit(3 + k), "h", "key")
+        of = [c for c in still.columns if c in ("h", "n", "root") or c.startswith("w")]
+        stars = still.groupBy("key").agg(F.min_by(F.struct(*[F.col(c).alias(f"{c}_1") for c in of]), order).alias("star"), F.min("root").alias("least"), F.max("root").alias("most"))
+        stars = cut(stars.where("least <> most").select("key", "star.*"))
+        met = _ended(still.select("key", *of), "_2").join(_bounded(stars, F.lit(256)), F.col("key_2") == F.col("key")).where((F.col("root_1") != F.col("root_2")) & _near("_1", "_2"))
+        far = _differ("_1", "_2") / (F.col("n_1") + F.col("n_2"))
+        met = met.select(*_pair("h_1", "h_2"), F.least("root_1", "root_2").alias("u"), F.greatest("root_1", "root_2").alias("v"), far.alias("far"))
+        best = cut(met.groupBy("u", "v").agg(F.min_by(F.struct("a", "b"), "far").alias("p")).select("u", "v", "p.*"))
+        found = cut(verified(best.select("a", "b"), texts))
+        to = cut(components(best.join(_bounded(found, F.lit(64)), ["a", "b"], "left_semi"), "u", "v"))
+        for c in ("root", "main"):
+            new = _bounded(to.select(F.col("node").alias(c), F.col("root").alias("_to")), F.lit(64))
+            still = still.join(new, c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
+        still, links = cut(still), links.union(found)
+    return still, links
+
+
 def _across(groups: DataFrame, lines: DataFrame) -> DataFrame:
     """a, b: links between components of lines of one key (key, h, sketch, root); lines: (h, line), copies included.
 
@@ -196,13 +225,15 @@ def _across(groups: DataFrame, lines: DataFrame) -> DataFrame:
     alike = reduce(Column.__and__, [*block, other, _alike(F.col("sketch_1"), F.col("sketch_2"))])
     asked = few.join(all_, alike, "left_semi").select(F.col("h_1").alias("h")).union(all_.join(few, alike, "left_semi").select("h_2"))
     texts = cut(_texts(cut(asked.distinct()), lines))
-    few, all_ = dealt(still.join(cut(_maps(texts)), "h"))
+    still, links = _starred(cut(still.join(cut(_maps(texts)), "h")), texts)
+    few, all_ = dealt(still)
     far = _differ("_1", "_2") / (F.col("n_1") + F.col("n_2"))
     pairs = few.join(all_, alike & _near("_1", "_2")).select(*_pair("h_1", "h_2"), F.least("root_1", "root_2").alias("u"), F.greatest("root_1", "root_2").alias("v"), far.alias("far"))
     pairs = cut(pairs.distinct())
     best = cut(pairs.groupBy("u", "v").agg(F.min_by(F.struct("a", "b"), "far").alias("p")).select("u", "v", "p.*"))
-    links = cut(verified(best.select("a", "b"), texts))
-    joined = cut(components(best.join(_bounded(links, F.lit(64)), ["a", "b"], "left_semi"), "u", "v"))
+    found = cut(verified(best.select("a", "b"), texts))
+    links = links.union(found)
+    joined = cut(components(best.join(_bounded(found, F.lit(64)), ["a", "b"], "left_semi"), "u", "v"))
     rest = pairs.select("a", "b", "u", "v")
     for c in "uv":
         to = _bounded(joined.select(F.col("node").alias(c), F.col("root").alias(f"to_{c}")), F.lit(64))
@@ -239,6 +270,7 @@ def lost_lines(docs: DataFrame) -> DataFrame:
 
 def without_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """doc_id, n_lines, n_removed, text (the lines left); with keep: docs, with that text and without the counts."""
+    docs.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # what is checkpointed needs no shuffle files
     row = F.struct("*") if keep else F.struct(docs[id_col].alias("doc_id"))
     named = docs.select(row.alias("_row"), F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text"))
     named = named.withColumn("_uid", F.xxhash64("_id", "_text"))
