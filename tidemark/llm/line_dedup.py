@@ -10,8 +10,8 @@ Lines that share a band are candidates. Each is first compared with one line of
 and verified pairs are joined by a distributed union-find. A band whose lines are then of several components is open: all
 its lines outside its largest component are compared with all of other components, in blocks of GROUP by GROUP lines,
 whatever their number; none is cut off. Two tests drop most unlike pairs inside that join, so that what it makes is near
-the number of similar pairs: sketches of two bits a bin (LEAST_BINS is so low that all similar ones pass but one in some
-thousand), and maps, of MAP_WORDS * 64 parities of the shingles that fall there. Shingles that both lines have change
+the number of similar pairs: sketches of SKETCH_BITS bits a bin (LEAST_BINS is so low that all similar ones pass but
+one in some thousand), and maps, of MAP_WORDS * 64 parities of the shingles that fall there. Shingles that both lines have change
 both maps alike, so maps differ in no more bits than sets in shingles, and no similar pair fails that test; only lines
 with a sketch like another's get a map. First ROUNDS further lines of each open band are compared with all others, which
 leaves few components of many near copies. Of what passes then, the nearest pair of each two components is verified first by the
@@ -41,8 +41,10 @@ BANDS, ROWS = 6, 4
 SIMILARITY = 0.8
 #: Shingles under the bound that a bin of a long line is expected to have.
 SPREAD = 3
-#: Bins in which the sketches of a pair agree at least; those of similar lines agree in 20 of 24 on average.
-LEAST_BINS = 15
+#: Bits of each bin in a sketch, and bins in one of its words.
+SKETCH_BITS, WORD_BINS = 5, 12
+#: Bins in which the sketches of a pair agree at least; those of similar lines agree in 19 of 24 on average.
+LEAST_BINS = 13
 #: Further stars that a band's lines are compared with before all of them meet.
 ROUNDS = 2
 #: Lines of an open band on either side of a block.
@@ -52,6 +54,7 @@ MAP_WORDS = 16
 #: Bytes up to which hashes or places of lines are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 _BINS = BANDS * ROWS
+_SKETCH = [f"sketch{i}" for i in range(-(-_BINS // WORD_BINS))]
 #: A hash's upper bits choose its bin, these are its value; the upper half of the value is kept.
 _VALUE_BITS = 48
 _VALUE = (1 << _VALUE_BITS) - 1
@@ -69,9 +72,9 @@ def _line(line: Column) -> Column:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """h, keys, sketch of each distinct line of (h, line), copies included.
+    """h, keys, sketch0, sketch1 of each distinct line of (h, line), copies included.
 
-    A key is of a band's least hashes; a band with fewer than two filled bins has none. The sketch has two bits of each bin.
+    A key is of a band's least hashes; a band with fewer than two filled bins has none. The sketch has SKETCH_BITS of each bin.
     """
     wide = lines.select("h", F.encode("line", "UTF-32").alias("u"))  # four bytes for each character, so that a slice takes no walk
     wide = wide.select("h", "u", (F.shiftright(F.length("u"), 2) - (SHINGLE - 1)).alias("n")).where("n > 0")
@@ -82,18 +85,20 @@ def signatures(lines: DataFrame) -> DataFrame:
     value = F.shiftright(F.col("s").bitwiseAND(F.lit(_VALUE)), _VALUE_BITS - _KEPT_BITS)
     s = s.select("h", (F.shiftrightunsigned("s", _VALUE_BITS) % _BINS).cast("int").alias("bin"), value.alias("v"))
     bins = [f"m{i}" for i in range(_BINS)]
-    least = s.groupBy("h").agg(*[F.min(F.when(F.col("bin") == i, F.col("v"))).alias(m) for i, m in enumerate(bins)])
+    least = s.groupBy("h").agg(*[F.expr(f"min(v) filter (where bin = {i})").alias(m) for i, m in enumerate(bins)])  # a filter leaves the other bins untouched
     bands = [bins[i : i + ROWS] for i in range(0, _BINS, ROWS)]
     filled = lambda of: sum((F.col(m).isNotNull().cast("int") for m in of), F.lit(0))
     keys = F.array_compact(F.array(*[F.when(filled(of) > 1, F.xxhash64(F.lit(i), *of)) for i, of in enumerate(bands)]))
-    bits = [F.shiftleft(F.coalesce(F.col(m), F.lit(0)).bitwiseAND(F.lit(3)).cast("long"), 2 * i) for i, m in enumerate(bins)]
-    return least.select("h", keys.alias("keys"), reduce(Column.bitwiseOR, bits).alias("sketch"))
+    bits = [F.shiftleft(F.coalesce(F.col(m), F.lit(0)).bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)).cast("long"), SKETCH_BITS * (i % WORD_BINS)) for i, m in enumerate(bins)]
+    words = [reduce(Column.bitwiseOR, bits[i * WORD_BINS : (i + 1) * WORD_BINS]).alias(c) for i, c in enumerate(_SKETCH)]
+    return least.select("h", keys.alias("keys"), *words)
 
 
-def _alike(a: Column, b: Column) -> Column:
-    """Whether two sketches agree in LEAST_BINS bins."""
-    x = a.bitwiseXOR(b)
-    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))) <= _BINS - LEAST_BINS
+def _alike(a: str, b: str) -> Column:
+    """Whether two sketches, with these endings of their columns, agree in LEAST_BINS bins."""
+    firsts = F.lit(sum(1 << SKETCH_BITS * i for i in range(WORD_BINS)))
+    unlike = lambda x: F.bit_count(reduce(Column.bitwiseOR, [F.shiftrightunsigned(x, i) for i in range(SKETCH_BITS)]).bitwiseAND(firsts))
+    return sum((unlike(F.col(c + a).bitwiseXOR(F.col(c + b))) for c in _SKETCH), F.lit(0)) <= _BINS - LEAST_BINS
 
 
 def _exploded(docs: DataFrame) -> DataFrame:
@@ -123,7 +128,7 @@ def _maps(texts: DataFrame) -> DataFrame:
     sets = texts.select("h", _shingle_set(F.col("line")).alias("s"))
     s = sets.select("h", F.size("s").alias("n"), F.explode("s").alias("s"))
     s = s.select("h", "n", F.expr(f"cast(shiftright(s, 6) & {MAP_WORDS - 1} as int)").alias("word"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit"))
-    return s.groupBy("h", "n").agg(*[F.coalesce(F.bit_xor(F.when(F.col("word") == i, F.col("bit"))), F.lit(0)).alias(f"w{i}") for i in range(MAP_WORDS)])
+    return s.groupBy("h", "n").agg(*[F.expr(f"coalesce(bit_xor(bit) filter (where word = {i}), 0)").alias(f"w{i}") for i in range(MAP_WORDS)])
 
 
 def _differ(a: str, b: str) -> Column:
@@ -159,20 +164,20 @@ def _pair(g: str, h: str) -> list[Column]:
 
 
 def _met(groups: DataFrame, keys: DataFrame) -> DataFrame:
-    """The lines (key, h, sketch, ...) of keys that two or more have, with the star g and its sketch (of): one line of the key.
+    """The lines (key, h, sketch, ...) of keys that two or more (n) have, with the star g and its sketch (ending in _of): one line of the key.
 
     Each key has an order of its own, the hash exclusive-or the key, and the least is the star. Keys of one line, which
     most are, go no further than a partly summed count.
     """
     least = groups.groupBy("key").agg(F.count("*").alias("n"), F.min(F.col("h").bitwiseXOR(F.col("key"))).alias("x")).where("n > 1")
-    least = least.select("key", F.col("x").bitwiseXOR(F.col("key")).alias("g"))
-    least = cut(least.join(keys.select(F.col("h").alias("g"), F.col("sketch").alias("of")), "g"))
+    least = least.select("key", "n", F.col("x").bitwiseXOR(F.col("key")).alias("g"))
+    least = cut(least.join(keys.select(F.col("h").alias("g"), *[F.col(c).alias(f"{c}_of") for c in _SKETCH]), "g"))
     return groups.join(_bounded(least, F.lit(64)), "key")
 
 
 def _stars(met: DataFrame) -> DataFrame:
     """a, b: each line with its key's star, where their sketches agree."""
-    return met.where((F.col("g") != F.col("h")) & _alike(F.col("sketch"), F.col("of"))).select(*_pair("g", "h"))
+    return met.where((F.col("g") != F.col("h")) & _alike("", "_of")).select(*_pair("g", "h"))
 
 
 def _starred(still: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -222,7 +227,7 @@ def _across(groups: DataFrame, lines: DataFrame) -> DataFrame:
         return _ended(few.drop("at", "rows", "cols"), "_1"), _ended(all_.drop("at", "rows", "cols"), "_2")
 
     few, all_ = dealt(still)
-    alike = reduce(Column.__and__, [*block, other, _alike(F.col("sketch_1"), F.col("sketch_2"))])
+    alike = reduce(Column.__and__, [*block, other, _alike("_1", "_2")])
     asked = few.join(all_, alike, "left_semi").select(F.col("h_1").alias("h")).union(all_.join(few, alike, "left_semi").select("h_2"))
     texts = cut(_texts(cut(asked.distinct()), lines))
     still, links = _starred(cut(still.join(cut(_maps(texts)), "h")), texts)
@@ -245,11 +250,12 @@ def _across(groups: DataFrame, lines: DataFrame) -> DataFrame:
 def fuzzy_links(lines: DataFrame) -> DataFrame:
     """a, b: hashes of distinct lines, joined by verified similarities; lines: (h, line), copies included."""
     keys = cut(signatures(lines))
-    groups = cut(_met(keys.select("h", "sketch", F.explode("keys").alias("key")), keys))
+    groups = cut(_met(keys.select("h", *_SKETCH, F.explode("keys").alias("key")), keys))
     first = cut(_stars(groups).distinct())
     roots = cut(components(verified(first, lines)))
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    groups = groups.join(_bounded(roots.withColumnRenamed("node", "h"), F.lit(64)), "h", "left").select("key", "h", "sketch", F.coalesce("root", "h").alias("root"))
+    groups = groups.where("n > 2")  # of two lines one is the star
+    groups = groups.join(_bounded(roots.withColumnRenamed("node", "h"), F.lit(64)), "h", "left").select("key", "h", *_SKETCH, F.coalesce("root", "h").alias("root"))
     return links.union(_across(groups, lines))
 
 
