@@ -188,3 +188,12 @@ def test_alerts_of_parts_of_seconds(spark, tmp_path):
     con.sql(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT PARQUET)")
     got = {(r.kind, r.event_id) for r in queries()["alerts_sent"](spark, str(tmp_path)).collect()}
     assert got == set(con.sql(oracle_sql()["alerts_sent"]).fetchall())
+
+
+def test_reports_deal_units_once(spark):
+    """Sizes, bodies, numbers and totals read the dealt units from a checkpoint, and none deals them again."""
+    rows = [("2024-01-01", 0, "区", "g", "组", i, f"line {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "key string, region int, region_title string, group_no string, group_name string, place long, line string")
+    got = D.reports(df, D.STYLES["wework"], F.col("key"), AT)
+    assert "FlatMapCoGroupsInPandas" not in got._jdf.queryExecution().toString()
+    assert got.count() == 1

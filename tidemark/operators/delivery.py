@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import stretches
+from tidemark.operators.rounds import checkpointed
 from tidemark.operators.splitting import lines_within
 
 #: Stands for a message that takes nothing more, as before the first unit.
@@ -205,16 +206,17 @@ def report_units(items: DataFrame, style: Style, base: Column, room: int, bits:
 def reports(items: DataFrame, style: Style, base: Column, at: str, bits: int = stretches.BITS) -> DataFrame:
     """RP-8, RP-9: key, batch, sent (the number in the order of sending), body. A message with its number and foot has at most style.cap bytes.
 
-    A report of one message has no number on it. `at` is the time that the foot shows.
+    A report of one message has no number on it. `at` is the time that the foot shows. What is read more than once is
+    checkpointed: items, units (their parts come from Python), dealt units and bodies.
     """
     foot = style.foot % at
     room = style.cap - reserve(style) - len(foot.encode())
-    units = report_units(items, style, base, room, bits)
-    out = dealt(units, room - 1, bits)
+    units = checkpointed(report_units(checkpointed(items), style, base, room, bits))
+    out = checkpointed(dealt(units, room - 1, bits))
     said = F.when(F.col("starts"), F.element_at("parts", -1)).otherwise(F.col("text"))
     bodies = out.groupBy("key", "message").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", said.alias("t")))), lambda x: x["t"]), "").alias("text"))  # at most a message
     over = out.where("starts and extra > 0").select("key", (F.col("message") - F.col("extra")).alias("from"), F.posexplode(F.slice("parts", F.lit(1), F.size("parts") - 1)).alias("k", "text"))
-    whole = bodies.unionByName(over.select("key", (F.col("from") + F.col("k")).alias("message"), "text"))
+    whole = checkpointed(bodies.unionByName(over.select("key", (F.col("from") + F.col("k")).alias("message"), "text")))
     totals = whole.groupBy("key").agg(F.count("*").alias("total"))
     rows = whole.join(totals, "key").withColumn("text", F.concat("text", F.lit(foot)))
     return sendable(rows, style)

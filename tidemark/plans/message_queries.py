@@ -9,6 +9,7 @@ from tidemark.functions import urls as U
 from tidemark.operators import delivery as D
 from tidemark.operators import report as R
 from tidemark.operators import stretches
+from tidemark.operators.rounds import checkpointed
 from tidemark.operators.splitting import split_column
 from tidemark.plans import rules as K
 from tidemark.plans.catalog import query
@@ -103,8 +104,8 @@ SELECT key, batch, sent, strlen(body)::INT AS bytes, sha256(body) AS sha256 FROM
 
 
 def _report_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the reports of all days: by rule group, new ones by source, and those that led a list."""
-    t = S.titles(spark, sf_dir)
+    """Lines of the reports of all days: by rule group, new ones by source, and those that led a list. Titles are made once for the four that read them."""
+    t = checkpointed(S.titles(spark, sf_dir))
     day = F.col("date").cast("string").alias("key")
     line = F.concat(F.lit("["), "source_id", F.lit("] "), "title")
     hot = R.matched(t, K.RULES).join(F.broadcast(R.groups_table(t, K.RULES)), "position")
