@@ -2,10 +2,12 @@ import random
 import re
 from difflib import SequenceMatcher
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.functions import scores, text, urls
-from tidemark.operators import history, rounds, similarity
+from tidemark.operators import blocks, history, rounds, similarity
 from tidemark.operators.delivery import packed
 
 
@@ -186,3 +188,38 @@ def test_link_counts_equal_pairs_one_by_one():
     assert left.tolist() == [sum(near(i, j) for j in cols) for i in rows]
     assert right.tolist() == [sum(near(i, j) for i in rows) for j in cols]
     assert 0 < left.sum() < 90 * 90
+
+
+def test_pairs_of_a_search_are_not_shuffled(spark):
+    t = spark.range(100).selectExpr("id doc_id", "concat('title number ', id % 7) title")
+    asked = t.where("doc_id % 20 = 0").selectExpr("doc_id query_id", "title ref")
+    for df in (similarity.token_similar(asked, t), similarity.related(asked, t, 0.3, 0.7, 0.25)):
+        above = df._jdf.queryExecution().optimizedPlan().toString().split("FlatMapGroupsIn")[0]
+        assert "Join" not in above and "Repartition" not in above and len(above.splitlines()) < 5
+
+
+def test_copies_and_null_ids_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "_COPIES", 4)
+    rows = [(k if k % 9 else None, f"title number {k * k % 11}" if k % 3 else "title number 1") for k in range(90)] + [(None, None), (7, ""), (2**62 + 20, "title number 1")]
+    t = spark.createDataFrame(rows, "doc_id long, title string")
+    asked = [(k, x) for k, x in rows if k is not None and k % 20 == 0 and x]
+    asked += [(k + 1000, "title number 1") for k in range(30)]
+    got = sorted((r[0], r[1] is None, r[1] or 0, r[2]) for r in similarity.token_similar(spark.createDataFrame(asked, "query_id long, ref string"), t).collect())
+    assert got == sorted((q, d is None, d or 0, _jaccard(_tokens(r), _tokens(x))) for q, r in asked for d, x in rows if x and _tokens(r) & _tokens(x))
+    texts = similarity._texts(t, "title", "doc_id").where("title = 'title number 1'").collect()
+    assert len(texts) > 4 and sum(len(r["ids"]) + r["nulls"] for r in texts) == sum(x == "title number 1" for _, x in rows)
+    empty = spark.createDataFrame([], "doc_id long, title string")
+    assert similarity.token_similar(spark.createDataFrame(asked, "query_id long, ref string"), empty).collect() == []
+
+
+def test_blocks_of_several_tiles_meet_once_and_send_few_copies(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "TILE", (50, 70))
+    left, right = spark.range(900).withColumnRenamed("id", "a"), spark.range(700).withColumnRenamed("id", "b")
+    pairs = lambda x, y: pd.DataFrame({"a": np.repeat(x["a"].to_numpy(np.int64), len(y)), "b": np.tile(y["b"].to_numpy(np.int64), len(x))})
+    met = lambda: blocks.per_block(left, right, ["a"], ["b"], pairs, "a long, b long")
+    monkeypatch.setattr(blocks, "MOST", (200, 300))
+    assert (met().count(), met().distinct().count()) == (630_000, 630_000)
+    monkeypatch.setattr(blocks, "MOST", (16384, 16384))
+    sizes = lambda x, y: pd.DataFrame({"a": [len(x)], "b": [len(y)]})
+    monkeypatch.setattr(blocks, "TILE", (16384, 16384))
+    assert blocks.per_block(left, right, ["a"], ["b"], sizes, "a long, b long").agg({"b": "sum"}).first()[0] == 700  # once for each stripe of the left side, which is one
