@@ -220,6 +220,40 @@ def test_blocks_of_several_tiles_meet_once_and_send_few_copies(spark, monkeypatc
     monkeypatch.setattr(blocks, "MOST", (200, 300))
     assert (met().count(), met().distinct().count()) == (630_000, 630_000)
     monkeypatch.setattr(blocks, "MOST", (16384, 16384))
+    monkeypatch.setattr(blocks, "_BLOCKS", 1)  # small tables are cut further, for the sake of tasks
     sizes = lambda x, y: pd.DataFrame({"a": [len(x)], "b": [len(y)]})
     monkeypatch.setattr(blocks, "TILE", (16384, 16384))
     assert blocks.per_block(left, right, ["a"], ["b"], sizes, "a long, b long").agg({"b": "sum"}).first()[0] == 700  # once for each stripe of the left side, which is one
+
+
+def test_first_longest_run_and_what_lies_around_it():
+    rng = random.Random(31)
+    a = ["".join(rng.choice("abcde ") for _ in range(rng.choice([1, 7, 63, 64, 65, 100, 127]))) for _ in range(12)]
+    b = a[:2] + ["".join(rng.choice("abcdef") for _ in range(rng.choice([1, 2, 64, 80, 127]))) for _ in range(12)] + [x[40:] + x[:40] for x in a[:4]]
+    ids, words = similarity.letter_places(a, b)
+    i, j = (x.ravel() for x in np.indices((len(a), len(b))))
+    table = words[:, ids[:, i], j]
+    first = similarity._first_longest(table)
+    whole, places = similarity._in_order(table), np.stack([words[0] & similarity._LOW, words[1] << np.uint64(1) | words[0] >> np.uint64(63)], axis=1)
+    for at, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+        m = SequenceMatcher(None, a[x], b[y], autojunk=False).find_longest_match()
+        assert tuple(c[at] for c in first) == ((m.a, m.b, m.size) if m.size > 1 else (0, 0, 0))
+        assert whole[at] == similarity._in_order_all(ids[: len(a[x]), x], places)[y]
+    around, (p, q, k) = similarity._around(table, first), first
+    bits = lambda t, r, c: t[c >> 6, r, :] >> np.uint64(c & 63) & np.uint64(1)
+    for r in range(table.shape[1]):
+        for c in range(127):
+            left = ((r < p) & (c < q)) | ((r >= p + k) & (c >= q + k))
+            assert (bits(around, r, c) == np.where(left, bits(table, r, c), 0)).all()
+
+
+def test_most_unlike_pairs_go_by_their_longest_run(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 8))) for _ in range(300)]
+    a, b = (["".join(rng.choice(words) + " " for _ in range(16))[:80] for _ in range(n)] for n in (20, 150))
+    looked, run = [], similarity._matched
+    monkeypatch.setattr(similarity, "_matched", lambda table, need: looked.append(len(need)) or run(table, need))
+    got = similarity.ratios(a, b, np.ones((20, 150), bool), 0.4)
+    expected = np.array([[r if (r := SequenceMatcher(None, x, y).ratio()) >= 0.4 else 0.0 for y in b] for x in a])
+    in_order = (2 * similarity.common_lengths([x for x in a for _ in b], b * len(a)) >= 0.4 * np.array([len(x) + len(y) for x in a for y in b]) - 1e-9).sum()
+    assert (got == expected).all() and sum(looked) < 0.8 * in_order
