@@ -257,3 +257,19 @@ def test_most_unlike_pairs_go_by_their_longest_run(monkeypatch):
     expected = np.array([[r if (r := SequenceMatcher(None, x, y).ratio()) >= 0.4 else 0.0 for y in b] for x in a])
     in_order = (2 * similarity.common_lengths([x for x in a for _ in b], b * len(a)) >= 0.4 * np.array([len(x) + len(y) for x in a for y in b]) - 1e-9).sum()
     assert (got == expected).all() and sum(looked) < 0.8 * in_order
+
+
+def test_most_similar_has_bars_and_keeps_ties(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "_FIRST", 2)
+    rng = random.Random(17)
+    rows = [(k, "".join(rng.choice("abc") for _ in range(rng.choice([5, 6])))) for k in range(120)] + [(k, "abcab") for k in range(120, 126)]
+    t = spark.createDataFrame(rows, "doc_id long, title string")
+    asked = t.where("doc_id % 20 = 0").selectExpr("doc_id query_id", "title ref")
+    bars, run = [], similarity.similar
+    monkeypatch.setattr(similarity, "similar", lambda q, *more: bars.append("least" in q.columns and [r[0] for r in q.select("least").collect()]) or run(q, *more))
+    got = sorted(map(tuple, similarity.most_similar(asked, t, 0.4, 10).select("query_id", "place", "doc_id", "similarity").collect()))
+    expected = []
+    for q, r in rows[::20]:
+        near = sorted((-s, d) for d, x in rows if x != r and (s := SequenceMatcher(None, r, x).ratio()) >= 0.4)
+        expected += [(q, place, d, -s) for place, (s, d) in enumerate(near[:10], 1)]
+    assert got == sorted(expected) and max(bars[-1]) > 0.4
