@@ -273,3 +273,10 @@ def test_most_similar_has_bars_and_keeps_ties(spark, monkeypatch):
         near = sorted((-s, d) for d, x in rows if x != r and (s := SequenceMatcher(None, r, x).ratio()) >= 0.4)
         expected += [(q, place, d, -s) for place, (s, d) in enumerate(near[:10], 1)]
     assert got == sorted(expected) and max(bars[-1]) > 0.4
+
+
+def test_clusters_compare_once(spark, monkeypatch):
+    plans, run = [], similarity.leaders
+    monkeypatch.setattr(similarity, "leaders", lambda items, near: plans.append(near._jdf.queryExecution().optimizedPlan().toString()) or run(items, near))
+    df = spark.createDataFrame([("abcdef", 1, 2.0, 1, ["s"]), ("abcdeg", 1, 1.0, 1, ["s"])], "title string, n long, weight double, best_rank int, sources array<string>")
+    assert [r["size"] for r in similarity.clusters(df, 0.7).collect()] == [2] and "FlatMapGroups" not in plans[0]
